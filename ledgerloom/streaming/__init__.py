@@ -1,0 +1,5 @@
+"""No operator here is a streaming operator: every input of this library is a finite table.
+
+The row-level operators (``operators.contracts``, ``operators.leaves`` and ``operators.text_scan``)
+are stateless projections, so they also accept a DataFrame from ``spark.readStream`` unchanged.
+"""
