@@ -10,13 +10,14 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions import patterns as P
 
 _NO_TEXTS = "array<string>"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc_if_changed(texts: pd.Series) -> pd.Series:
     """NFKC form of each text that is not in it already, else NULL. Spark has no such function."""
 

@@ -49,7 +49,7 @@ def list_digest(
     """(by, members, oversize, digest): digest of each group's members as an ordered JSON list.
 
     For bundles, whose size has a limit: a group over it is refused, as the bundle check refuses
-    it, with ``oversize`` true and no digest. Only the first ``limit + 1`` members of a group leave
+    it, with ``oversize`` true and neither count nor digest. Only the first ``limit + 1`` members of a group leave
     their map task (Spark cuts the ranking before the shuffle), so an oversize group is not gathered.
     """
     ranked = df.select(*by, *order, member.alias("__m")).withColumn(
@@ -60,6 +60,6 @@ def list_digest(
     oversize = F.size("__e") > limit
     text = F.concat(F.lit("["), F.array_join(F.transform("__e", lambda e: e["__m"]), ","), F.lit("]"))
     return grouped.select(
-        *by, F.size("__e").cast("bigint").alias("members"), oversize.alias("oversize"),
+        *by, F.when(~oversize, F.size("__e").cast("bigint")).alias("members"), oversize.alias("oversize"),
         F.when(~oversize, domain_digest(domain, text)).alias("digest"),
     )

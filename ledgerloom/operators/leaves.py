@@ -97,11 +97,11 @@ def json_nodes(df: DataFrame, id_columns: Sequence[str], raw: str, depth: int =
     for level in range(1, depth + 1):
         opened = F.flatten(F.transform(F.col(f"__l{level - 1}"), _children))
         levels = levels.select("*", opened.alias(f"__l{level}"))
-    tagged = [
-        F.transform(F.col(f"__l{level}"), lambda n, last=(level == depth): F.struct(n.alias("n"), F.lit(last).alias("last")))
-        for level in range(1, depth + 1)
-    ]
-    nodes = levels.select(*id_columns, F.explode(F.concat(*tagged)).alias("e"))
+
+    def tagged(level: int) -> Column:
+        return F.transform(F.col(f"__l{level}"), lambda n: F.struct(n.alias("n"), F.lit(level == depth).alias("last")))
+
+    nodes = levels.select(*id_columns, F.explode(F.concat(*map(tagged, range(1, depth + 1)))).alias("e"))
     kind = F.schema_of_variant(F.col("e.n.v"))
     label = (
         F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.when(F.col("e.last"), "container").otherwise("inner"))

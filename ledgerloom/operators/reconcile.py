@@ -77,17 +77,30 @@ def path_closure(
     never listed. Count and size limits are checked on the actual files.
     """
     keys = [*bundle, "path"]
-    both = _stack(declared, actual, keys, ["digest", "size"])
+
+    def side(df: DataFrame, prefix: str) -> DataFrame:
+        return df.select(
+            *keys, F.lit(prefix == "d").alias("is_declared"), F.col("digest"), F.col("size").cast("bigint").alias("size")
+        )
+
+    stacked = side(declared, "d").unionByName(side(actual, "a"))
+    listed = F.col("is_declared")
+    both = stacked.groupBy(*keys).agg(
+        F.count_if(listed).alias("n_declared"), F.count_if(~listed).alias("n_actual"),
+        F.max(F.when(listed, F.col("digest"))).alias("declared_digest"), F.max(F.when(~listed, F.col("digest"))).alias("actual_digest"),
+        F.max(F.when(listed, F.col("size"))).alias("declared_size"), F.max(F.when(~listed, F.col("size"))).alias("actual_size"),
+    )
     is_self = F.col("path") == self_path if self_path is not None else F.lit(False)
+    once = (F.col("n_declared") == 1) & (F.col("n_actual") == 1)
     reasons = F.array_compact(
         F.array(
-            F.when(is_self & (F.col("n_left") > 0), F.lit("self-listed")),
-            F.when((F.col("n_left") > 1) | (F.col("n_right") > 1), F.lit("path-duplicate")),
-            F.when((F.col("n_left") > 0) & (F.col("n_right") == 0), F.lit("path-missing")),
-            F.when((F.col("n_left") == 0) & ~is_self, F.lit("path-extra")),
-            F.when((F.col("n_left") == 1) & (F.col("n_right") == 1) & ~F.col("l.digest").eqNullSafe(F.col("r.digest")), F.lit("digest-mismatch")),
-            F.when((F.col("n_left") == 1) & (F.col("n_right") == 1) & ~F.col("l.size").eqNullSafe(F.col("r.size")), F.lit("size-mismatch")),
-            F.when(F.col("r.size") > max_bytes, F.lit("file-too-large")),
+            F.when(is_self & (F.col("n_declared") > 0), F.lit("self-listed")),
+            F.when((F.col("n_declared") > 1) | (F.col("n_actual") > 1), F.lit("path-duplicate")),
+            F.when((F.col("n_declared") > 0) & (F.col("n_actual") == 0), F.lit("path-missing")),
+            F.when((F.col("n_declared") == 0) & ~is_self, F.lit("path-extra")),
+            F.when(once & ~F.col("declared_digest").eqNullSafe(F.col("actual_digest")), F.lit("digest-mismatch")),
+            F.when(once & ~F.col("declared_size").eqNullSafe(F.col("actual_size")), F.lit("size-mismatch")),
+            F.when(F.col("actual_size") > max_bytes, F.lit("file-too-large")),
         )
     )
     per_path = both.select(*keys, F.explode(reasons).alias("reason"))

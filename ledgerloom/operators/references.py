@@ -16,15 +16,14 @@ def explode_references(records: DataFrame, id_columns: Sequence[str], fields: Ma
     ``fields`` maps an array column to the record type it points at. Null arrays and null items
     give no row.
     """
-    per_field = [
-        F.transform(
-            F.coalesce(F.array_compact(F.col(name)), F.array().cast("array<string>")),
-            lambda item, name=name, target=target: F.struct(
-                F.lit(name).alias("field"), F.lit(target).alias("dst_type"), item.alias("dst_id")
-            ),
+
+    def references(name: str, target: str) -> Column:
+        ids = F.coalesce(F.array_compact(F.col(name)), F.array().cast("array<string>"))
+        return F.transform(
+            ids, lambda item: F.struct(F.lit(name).alias("field"), F.lit(target).alias("dst_type"), item.alias("dst_id"))
         )
-        for name, target in fields.items()
-    ]
+
+    per_field = [references(name, target) for name, target in fields.items()]
     edges = records.select(*id_columns, F.explode(F.concat(*per_field)).alias("e"))
     return edges.select(*id_columns, "e.field", "e.dst_type", "e.dst_id")
 

@@ -29,13 +29,12 @@ def vocabulary_counts(df: DataFrame, column: str, vocabulary: Sequence[str], by:
 def claim_references(claims: DataFrame) -> DataFrame:
     """(claim_id, kind, ref_id, subject) from claims that hold their references as arrays."""
     kinds = {"evidence": "evidence", "assumptions": "assumption", "limitations": "limitation"}
-    parts = [
-        F.transform(
-            F.coalesce(F.col(name), F.array().cast("array<string>")),
-            lambda item, kind=kind: F.struct(F.lit(kind).alias("kind"), item.alias("ref_id")),
-        )
-        for name, kind in kinds.items()
-    ]
+
+    def references(name: str, kind: str) -> Column:
+        ids = F.coalesce(F.col(name), F.array().cast("array<string>"))
+        return F.transform(ids, lambda item: F.struct(F.lit(kind).alias("kind"), item.alias("ref_id")))
+
+    parts = [references(name, kind) for name, kind in kinds.items()]
     refs = claims.select("claim_id", "subject", F.explode(F.concat(*parts)).alias("e"))
     return refs.select("claim_id", "e.kind", "e.ref_id", "subject")
 

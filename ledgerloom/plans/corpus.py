@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerloom.functions.digest import DIGEST_PATTERN
 from ledgerloom.functions.times import parse_time
@@ -100,8 +99,7 @@ REFERENCES = {
 ACTIVE_CLAIMS = ("supported", "supported-with-assumptions")
 INACTIVE_LIFECYCLES = ("superseded", "withdrawn")
 
-RECORD_SCHEMA = T.StructType.fromDDL(
-    """
+RECORD_SCHEMA = """
     schema_version string, record_type string, id string, statement string,
     subject struct<type:string,identifier:string,version:string,digest:string>,
     scope string, status string, assumptions array<string>, evidence array<string>, limitations array<string>,
@@ -124,8 +122,7 @@ RECORD_SCHEMA = T.StructType.fromDDL(
     severity string, identified_at string, mitigation string, `references` array<string>, notice_type string,
     affected_report string, reason string, impact string, replacement string, issued_at string, approver string,
     public_notice string
-    """
-)
+"""
 
 
 def _present(name: str) -> Column:

@@ -187,10 +187,13 @@ def apply_omissions(
     out = df.withColumn(
         "omission_error", F.when(F.exists(asked, lambda r: ~permitted(r)), F.lit("omission-rule"))
     ).withColumn("omission_log", normalize_omissions(F.transform(F.filter(asked, permitted), entry)))
+
+    def named(path: str) -> Column:
+        return F.exists(asked, lambda r: permitted(r) & (r["path"] == path))
+
     for path, column in fields.items():
-        hit = F.exists(asked, lambda r, path=path: permitted(r) & (r["path"] == path))
         kind = df.schema[column].dataType.simpleString()
-        out = out.withColumn(column, F.when(hit, F.array().cast(kind)).otherwise(F.col(column)))
+        out = out.withColumn(column, F.when(named(path), F.array().cast(kind)).otherwise(F.col(column)))
     return out
 
 

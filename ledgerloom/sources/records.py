@@ -17,7 +17,7 @@ EXCLUDED_DIRECTORIES = (".git", ".venv", "artifacts", "__pycache__", "node_modul
 
 
 def read_records(
-    spark: SparkSession, root: str, schema: T.StructType | None = None, *, max_bytes: int = MAX_RECORD_BYTES,
+    spark: SparkSession, root: str, schema: T.StructType | str | None = None, *, max_bytes: int = MAX_RECORD_BYTES,
     exclude_directories: Sequence[str] = EXCLUDED_DIRECTORIES,
 ) -> tuple[DataFrame, DataFrame]:
     """(records, findings) of every ``*.json`` file under ``root``.
@@ -65,7 +65,7 @@ def json_problem(raw: Column) -> Column:
     )
 
 
-def parse_json_column(df: DataFrame, raw: str, schema: T.StructType, *, record: str = "record", ok: str = "parsed") -> DataFrame:
+def parse_json_column(df: DataFrame, raw: str, schema: T.StructType | str, *, record: str = "record", ok: str = "parsed") -> DataFrame:
     """Adds a typed struct and whether the text parsed; a broken text gives a NULL struct."""
     good = json_problem(F.col(raw)).isNull() & F.col(raw).isNotNull()
     return df.withColumn(ok, good).withColumn(record, F.when(good, F.from_json(raw, schema)))
