@@ -181,14 +181,14 @@ _LANES_SQL = """
         FROM lineitem WHERE l_tax < 0.06 GROUP BY l_orderkey) ON l_orderkey = o_orderkey),
     c AS (
       SELECT claim_id, o_custkey, o_orderpriority,
-        list_filter([CASE WHEN b > 0 THEN 'behavior' END, CASE WHEN r > 0 THEN 'runtime' END], x -> x IS NOT NULL) AS observed_lanes,
-        list_filter([CASE WHEN b > 0 THEN 'integration' END, CASE WHEN r > 0 THEN 'runtime-control' END], x -> x IS NOT NULL) AS observed_kinds,
-        list_filter([CASE WHEN b = 0 AND o_orderpriority <> '5-LOW' THEN 'behavior' END, CASE WHEN r = 0 AND o_orderpriority <> '5-LOW' THEN 'runtime' END], x -> x IS NOT NULL) AS missing_lanes,
-        list_filter([CASE WHEN b = 0 AND o_orderpriority <> '5-LOW' THEN 'integration' END, CASE WHEN r = 0 AND o_orderpriority <> '5-LOW' THEN 'runtime-control' END], x -> x IS NOT NULL) AS missing_kinds,
+        list_filter([CASE WHEN b > 0 THEN 'behavior' END, CASE WHEN r > 0 THEN 'runtime' END], lambda x: x IS NOT NULL) AS observed_lanes,
+        list_filter([CASE WHEN b > 0 THEN 'integration' END, CASE WHEN r > 0 THEN 'runtime-control' END], lambda x: x IS NOT NULL) AS observed_kinds,
+        list_filter([CASE WHEN b = 0 AND o_orderpriority <> '5-LOW' THEN 'behavior' END, CASE WHEN r = 0 AND o_orderpriority <> '5-LOW' THEN 'runtime' END], lambda x: x IS NOT NULL) AS missing_lanes,
+        list_filter([CASE WHEN b = 0 AND o_orderpriority <> '5-LOW' THEN 'integration' END, CASE WHEN r = 0 AND o_orderpriority <> '5-LOW' THEN 'runtime-control' END], lambda x: x IS NOT NULL) AS missing_kinds,
         list_filter([CASE WHEN n > 0 AND n = src THEN 'all-evidence-derived-from-source' END,
                      CASE WHEN (CASE WHEN b > 0 THEN 1 ELSE 0 END) + (CASE WHEN r > 0 THEN 1 ELSE 0 END) < (CASE WHEN o_orderpriority = '5-LOW' THEN 1 ELSE 2 END) THEN 'insufficient-independent-lanes' END,
                      CASE WHEN spec = 0 THEN 'missing-spec-derived-evidence' END,
-                     CASE WHEN n > 1 AND low = high THEN 'same-generator-lineage' END], x -> x IS NOT NULL) AS warning_codes
+                     CASE WHEN n > 1 AND low = high THEN 'same-generator-lineage' END], lambda x: x IS NOT NULL) AS warning_codes
       FROM o),
     lanes AS (
       SELECT *, CASE WHEN len(missing_lanes) + len(missing_kinds) > 0 THEN 'blocked' WHEN len(warning_codes) > 0 THEN 'warning' ELSE 'satisfied' END AS status FROM c)
@@ -219,7 +219,7 @@ _WARNINGS_SQL = _LANES_SQL + """,
     native AS (
       SELECT o_custkey, CASE WHEN unknown THEN 'error' WHEN missing OR a OR b OR d THEN 'blocked' WHEN c THEN 'warning' WHEN fine THEN 'satisfied' ELSE 'error' END AS native_state,
              array_to_string(list_filter([CASE WHEN a THEN 'all-evidence-derived-from-source' END, CASE WHEN b THEN 'insufficient-independent-lanes' END,
-                          CASE WHEN c THEN 'missing-spec-derived-evidence' END, CASE WHEN d THEN 'same-generator-lineage' END], x -> x IS NOT NULL), ',') AS warning_codes
+                          CASE WHEN c THEN 'missing-spec-derived-evidence' END, CASE WHEN d THEN 'same-generator-lineage' END], lambda x: x IS NOT NULL), ',') AS warning_codes
       FROM k)
 """
 

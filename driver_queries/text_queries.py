@@ -28,7 +28,7 @@ _HOST_TEST = f"""(h IN ('localhost', 'instance-data', 'metadata.google.internal'
 def _hosts_sql(text: str) -> str:
     """Distinct host tokens of a text, lower-cased, without outer brackets and final dots."""
     tokens = rf"regexp_extract_all(trim({text}, '[](){{}}<>,.;''\" '), '\[?[0-9a-fA-F:.]+\]?|[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|localhost')"
-    return f"list_distinct(list_transform({tokens}, t -> lower(trim(t, '[]'))))"
+    return f"list_distinct(list_transform({tokens}, lambda t: lower(trim(t, '[]'))))"
 
 
 def _class_sql(text: str) -> str:
@@ -47,7 +47,7 @@ def _class_sql(text: str) -> str:
         "(?i)git@|ssh://", r"(?i)(^|/)\.git(/|$)", r"(?i)(^|\s)[A-Za-z]:\\(Users|Windows|ProgramData|private|home)\\",
         r"(?i)(^|[\s(''])/(home|Users|root|etc|var|srv|opt|mnt|private)/", r"^[A-Za-z]:\\", "^(/|~/|file:///)", r"(^|[/\\])\.\.($|[/\\])",
     )
-    host = f"len(list_filter({_hosts_sql(text)}, h -> {_HOST_TEST.replace(chr(10), ' ')})) > 0"
+    host = f"len(list_filter({_hosts_sql(text)}, lambda h: {_HOST_TEST.replace(chr(10), ' ')})) > 0"
     person = any_of(
         rf"[{_W}.+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{{2,}}([^{_W}.-]|$)",
         r"(^|[^\p{Nd}])(\+\p{Nd}{1,3}[ .-]?)?(\p{Nd}[ .-]?){9,14}([^\p{Nd}]|$)",
@@ -107,7 +107,7 @@ def q_decode_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
     SELECT event_id, h AS host FROM (
-      SELECT event_id, unnest(list_distinct(list_transform(regexp_extract_all(t, '[0-9a-fA-F.]+|[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+'), x -> lower(x)))) AS h
+      SELECT event_id, unnest(list_distinct(list_transform(regexp_extract_all(t, '[0-9a-fA-F.]+|[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+'), lambda x: lower(x)))) AS h
       FROM (SELECT event_id, 'http ' || (user_id * 2 + 1) || '.' || (event_id % 256) || '.0.' || (event_id % 11) || ' ' || user_id || '.host.lan' AS t FROM events))
     WHERE {_HOST_TEST}
     UNION ALL

@@ -19,32 +19,36 @@ CONTROL_OR_BIDI = (
     r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f\u200b-\u200f\u202a-\u202e\u2060\u2066-\u2069\ufeff]"
 )
 
+# Each scan pattern stands beside the literals of which its text must hold at least one; the literal
+# test is far cheaper than the expression, and no literal depends on letter case.
 SECRETS = (
-    rf"{I}-----BEGIN (?:[A-Z0-9 ]+ )?PRIVATE KEY-----",
-    rf"(?<!{W})(?:gh[pousr]_[A-Za-z0-9]{{20,}}|github_pat_[A-Za-z0-9_]{{20,}})(?!{W})",
-    rf"(?<!{W})AKIA[0-9A-Z]{{16}}(?!{W})",
-    rf"{I}(?<!{W})Bearer[{S}]+[A-Za-z0-9._~+/=-]{{10,}}{B}",
-    rf"(?<!{W})eyJ[A-Za-z0-9_-]{{4,}}\.[A-Za-z0-9_-]{{4,}}\.[A-Za-z0-9_-]{{4,}}{B}",
-    rf"{I}(?<!{W})(?:password|passwd|secret|token|client_secret)[{S}]*[:=][{S}]*[^{S}]",
+    (("-----",), rf"{I}-----BEGIN (?:[A-Z0-9 ]+ )?PRIVATE KEY-----"),
+    (("_",), rf"(?<!{W})(?:gh[pousr]_[A-Za-z0-9]{{20,}}|github_pat_[A-Za-z0-9_]{{20,}})(?!{W})"),
+    (("AKIA",), rf"(?<!{W})AKIA[0-9A-Z]{{16}}(?!{W})"),
+    ((), rf"[Bb](?<!{W}.)[Ee][Aa][Rr][Ee][Rr][{S}]+(?iu:[A-Za-z0-9._~+/=-]{{10,}}){B}"),
+    (("eyJ",), rf"(?<!{W})eyJ[A-Za-z0-9_-]{{4,}}\.[A-Za-z0-9_-]{{4,}}\.[A-Za-z0-9_-]{{4,}}{B}"),
+    ((":", "="), rf"{I}(?<!{W})(?:password|passwd|secret|token|client_secret)[{S}]*[:=][{S}]*[^{S}]"),
+    (("://",), rf"{I}[a-z][a-z0-9+.-]*://[^{S}/:@]+:[^{S}/@]+@"),
+)
+LOCATORS = (
+    (("@",), rf"{I}git@"),
+    (("://",), rf"{I}ssh://"),
+    ((), rf"{I}(?:^|/)\.git(?:/|{END})"),
 )
-# Looked for only in text that holds "://".
-URL_CREDENTIALS = rf"{I}[a-z][a-z0-9+.-]*://[^{S}/:@]+:[^{S}/@]+@"
-
-LOCATORS = ("git@", "ssh://")
-GIT_DIRECTORY = rf"{I}(?:^|/)\.git(?:/|{END})"
 PATHS = (
-    rf"{I}(?:^|[{S}])[A-Za-z]:\\(?:Users|Windows|ProgramData|private|home)\\",
-    rf"{I}(?:^|[{S}('])/(?:home|Users|root|etc|var|srv|opt|mnt|private)/",
-    r"^[A-Za-z]:\\",
-    rf"(?:^|[/\\])\.\.(?:{END}|[/\\])",
+    ((":\\",), rf"{I}(?:^|[{S}])[A-Za-z]:\\(?:Users|Windows|ProgramData|private|home)\\"),
+    (("/",), rf"{I}(?:^|[{S}('])/(?:home|Users|root|etc|var|srv|opt|mnt|private)/"),
+    ((":\\",), r"^[A-Za-z]:\\"),
+    (("..",), rf"(?:^|[/\\])\.\.(?:{END}|[/\\])"),
 )
 PATH_STARTS = ("/", "~/", "file:///")
 
+# Every account number and telephone number holds nine digits with at most one separator between.
+NINE_DIGITS = r"\p{Nd}(?:[ .-]?\p{Nd}){8}"
 ACCOUNT = rf"{I}(?<![0-9a-f])\p{{Nd}}{{12}}(?![0-9a-f])"
-# Looked for only in text that holds "@".
-EMAIL = r"(?<![\p{L}\p{N}_.+-])[\p{L}\p{N}_.+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}(?![\p{L}\p{N}_.-])"
+EMAIL = ("@",), r"(?<![\p{L}\p{N}_.+-])[\p{L}\p{N}_.+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}(?![\p{L}\p{N}_.-])"
 PHONE = r"(?<!\p{Nd})(?:\+\p{Nd}{1,3}[ .-]?)?(?:\p{Nd}[ .-]?){9,14}(?!\p{Nd})"
-STRUCTURED_ID = rf"{I}(?<!{W})(?:account|customer|cust|project|subscription|tenant)[-_][A-Za-z0-9]{{4,}}(?!{W})"
+STRUCTURED_ID = ("-", "_"), rf"{I}(?<!{W})(?:account|customer|cust|project|subscription|tenant)[-_][A-Za-z0-9]{{4,}}(?!{W})"
 
 VULNERABILITY = (
     rf"{I}(?:exploit[{S}]+(?:code|command)|reproduction[{S}]+command"
@@ -55,12 +59,12 @@ HOST_STRIP = "[](){}<>,.;'\" "
 HOST_TOKEN = r"\[?[0-9a-fA-F:.]+\]?|[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++|localhost"
 HOST_NAMES = ("localhost", "instance-data", "metadata.google.internal")
 HOST_SUFFIXES = (".localhost", ".internal", ".local", ".lan")
-# Every text that can hold a flagged host matches this; a cheap test before the tokens are cut out.
-HOST_HINT = (
-    r"(?i)localhost|\.internal|\.local|\.lan|instance-data"
-    r"|[0-9]\.[0-9]+\.[0-9]+\.[0-9]|:[0-9a-f.]*:"
-)
+# Every text that can hold a flagged host holds one of the literals or matches the expression; cheap
+# tests before the tokens are cut out.
+HOST_LITERALS = ("localhost", "://")
+HOST_HINT = r"\.(?i:internal|local|lan)|[0-9]\.[0-9]+\.[0-9]+\.[0-9]|:[0-9a-fA-F.]*:"
 IPV4 = r"^(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\z"
+IPV6_SHAPE = r"^[0-9a-f.]*:[0-9a-f:.]*:[0-9a-f:.]*\z"
 # Networks that are not globally routable, and the exceptions inside them.
 IPV4_SPECIAL = (
     "0.0.0.0/8", "10.0.0.0/8", "100.64.0.0/10", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12", "192.0.0.0/24",
@@ -92,8 +96,11 @@ PRIVATE_TEXT = {
     ),
     "hosted_repository": rf"{I}(?<!{W})(?:github\.com|gitlab\.com)/[^/{S}]+/[^/{S}]",
 }
-# Literals a text must hold for a pattern of the second scan to be worth running.
-PRIVATE_TEXT_NEEDS = {"cloud_key": "AKIA", "drive_path": ":\\", "email": "@", "private_key": "-----BEGIN"}
+# Literals of which a text must hold one for a pattern of the second scan to be worth running.
+PRIVATE_TEXT_NEEDS = {
+    "private_key": ("-----BEGIN",), "cloud_key": ("AKIA",), "posix_path": ("/",), "drive_path": (":\\",),
+    "customer_id": (":", "="), "credential": (":", "="), "email": ("@",), "tenant_id": (":", "="), "hosted_repository": ("/",),
+}
 
 PROHIBITED_VERBS = r"(?:proves?|certif(?:y|ies|ied|ication))"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import ipaddress
 import re
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -74,12 +74,14 @@ def decoded_forms(text: Column, nfkc: Column) -> Column:
     return F.array_distinct(F.array_compact(F.array(text, nfkc, percent, base64_decoded(text))))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, so that expressions stay small."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _ipv4_number(address: Column) -> Column:
-    octets = F.split(address, r"\.")
-    number = F.lit(0).cast("bigint")
-    for i in range(4):
-        number = number * 256 + F.get(octets, F.lit(i)).try_cast("bigint")
-    return number
+    octets = F.transform(F.split(address, r"\."), lambda octet: octet.try_cast("bigint"))
+    return F.aggregate(octets, F.lit(0).cast("bigint"), lambda number, octet: number * 256 + octet)
 
 
 def _in_ipv4(number: Column, networks: Sequence[str]) -> Column:
@@ -89,26 +91,49 @@ def _in_ipv4(number: Column, networks: Sequence[str]) -> Column:
     return inside
 
 
+def _special_ipv4(number: Column) -> Column:
+    return _in_ipv4(number, P.IPV4_SPECIAL) & ~_in_ipv4(number, P.IPV4_GLOBAL_EXCEPTIONS)
+
+
+def _with_dotted_tail_as_groups(address: Column) -> Column:
+    """An IPv6 text whose dotted quad at the end, if any, is written as two groups."""
+
+    def rewrite(tail: Column) -> Column:
+        head = F.substring(address, F.lit(1), F.char_length(address) - F.char_length(tail))
+        groups = _let(
+            _ipv4_number(tail), lambda n: F.lower(F.concat(F.hex(F.shiftright(n, 16)), F.lit(":"), F.hex(n.bitwiseAND(0xFFFF))))
+        )
+        return F.when(tail == "", address).when(tail.rlike(P.IPV4), F.concat(head, groups))
+
+    return _let(F.regexp_extract(address, r":((?:[0-9]+\.){3}[0-9]+)\z", 1), rewrite)
+
+
 def _ipv6_groups(address: Column) -> Column:
     """Eight 16-bit numbers of an IPv6 text, or NULL when it is not one."""
-    tail = F.regexp_extract(address, r":((?:[0-9]+\.){3}[0-9]+)\z", 1)
-    number = _ipv4_number(F.when(tail.rlike(P.IPV4), tail))
-    as_groups = F.concat(F.lower(F.hex(F.shiftright(number, 16))), F.lit(":"), F.lower(F.hex(number.bitwiseAND(0xFFFF))))
-    head = F.substring(address, F.lit(1), F.char_length(address) - F.char_length(tail))
-    text = F.when(tail == "", address).otherwise(F.concat(head, as_groups))
-    halves = F.split(text, "::", -1)
 
     def parts(half: Column) -> Column:
-        return F.when(half == "", F.array().cast(_NO_TEXTS)).otherwise(F.split(half, ":", -1))
-
-    left, right = parts(F.get(halves, F.lit(0))), parts(F.coalesce(F.get(halves, F.lit(1)), F.lit("")))
-    used = F.size(left) + F.size(right)
-    groups = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(8 - used, F.lit(0))), right)
-    squeezed = F.size(halves) == 2
-    shaped = F.forall(groups, lambda g: g.rlike(r"^[0-9a-f]{1,4}\z")) & (
-        (squeezed & (used <= 7)) | ((F.size(halves) == 1) & (used == 8))
+        return F.filter(F.split(half, ":", -1), lambda g: F.char_length(half) > 0)
+
+    def fill(halves: Column) -> Column:
+        sides = F.struct(
+            parts(F.get(halves, F.lit(0))).alias("left"), parts(F.coalesce(F.get(halves, F.lit(1)), F.lit(""))).alias("right"),
+            F.size(halves).alias("n"),
+        )
+        return _let(sides, complete)
+
+    def complete(s: Column) -> Column:
+        used = F.size(s["left"]) + F.size(s["right"])
+        zeros = F.array_repeat(F.lit("0"), F.greatest(8 - used, F.lit(0)))
+        shaped = ((s["n"] == 2) & (used <= 7)) | ((s["n"] == 1) & (used == 8))
+        return F.when(shaped, F.concat(s["left"], zeros, s["right"]))
+
+    groups = _let(F.split(_with_dotted_tail_as_groups(address), "::", -1), fill)
+    return _let(
+        groups,
+        lambda g: F.when(
+            F.forall(g, lambda x: x.rlike(r"^[0-9a-f]{1,4}\z")), F.transform(g, lambda x: F.conv(x, 16, 10).cast("bigint"))
+        ),
     )
-    return F.when(shaped, F.transform(groups, lambda g: F.conv(g, 16, 10).cast("bigint")))
 
 
 def _in_ipv6(groups: Column, networks: Sequence[str]) -> Column:
@@ -126,29 +151,38 @@ def _in_ipv6(groups: Column, networks: Sequence[str]) -> Column:
     return inside
 
 
-def is_nonpublic_host(host: Column) -> Column:
-    """A local name or suffix, a metadata name, or an address that is not globally routable."""
-    name = F.rtrim(F.lower(host), F.lit("."))
-    named = name.isin(list(P.HOST_NAMES))
-    for suffix in P.HOST_SUFFIXES:
-        named = named | name.endswith(suffix)
-    v4 = _ipv4_number(F.when(name.rlike(P.IPV4), name))
-    v4_hit = _in_ipv4(v4, P.IPV4_SPECIAL) & ~_in_ipv4(v4, P.IPV4_GLOBAL_EXCEPTIONS)
-    groups = _ipv6_groups(F.when(name.rlike(r"^[0-9a-f.]*:[0-9a-f:.]*:[0-9a-f:.]*\z"), name))
+def _special_ipv6(groups: Column) -> Column:
     mapped = F.get(groups, F.lit(6)) * 65536 + F.get(groups, F.lit(7))
-    mapped_hit = _in_ipv4(mapped, P.IPV4_SPECIAL) & ~_in_ipv4(mapped, P.IPV4_GLOBAL_EXCEPTIONS)
-    v6_hit = F.when(_in_ipv6(groups, [P.IPV6_MAPPED_IPV4]), mapped_hit).otherwise(
+    return F.when(_in_ipv6(groups, [P.IPV6_MAPPED_IPV4]), _let(mapped, _special_ipv4)).otherwise(
         _in_ipv6(groups, P.IPV6_SPECIAL) & ~_in_ipv6(groups, P.IPV6_GLOBAL_EXCEPTIONS)
     )
-    return named | F.coalesce(v4_hit, F.lit(False)) | F.coalesce(v6_hit, F.lit(False))
+
+
+def is_nonpublic_host(host: Column) -> Column:
+    """A local name or suffix, a metadata name, or an address that is not globally routable."""
+
+    def test(name: Column) -> Column:
+        named = name.isin(list(P.HOST_NAMES))
+        for suffix in P.HOST_SUFFIXES:
+            named = named | name.endswith(suffix)
+        address = F.when(name.rlike(P.IPV4), _let(_ipv4_number(name), _special_ipv4)).when(
+            name.rlike(P.IPV6_SHAPE), _let(_ipv6_groups(name), _special_ipv6)
+        )
+        return named | F.coalesce(address, F.lit(False))
+
+    return _let(F.rtrim(F.lower(host), F.lit(".")), test)
 
 
 def _url_host(text: Column) -> Column:
     """Host of a value that is one URL, else NULL."""
     netloc = F.regexp_extract(F.regexp_replace(text, r"[\t\r\n]", ""), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1)
-    place = F.substring_index(netloc, "@", -1)
-    host = F.when(place.startswith("["), F.regexp_extract(place, r"^\[([^\]]*)", 1)).otherwise(F.substring_index(place, ":", 1))
-    return F.when(text.contains("://") & (host != ""), F.lower(host))
+    host = F.regexp_extract(F.substring_index(netloc, "@", -1), r"^(?:\[([^\]]*)|([^:\[]*))", 0)
+    return F.when(text.contains("://"), F.nullif(F.lower(F.btrim(host, F.lit("[]"))), F.lit("")))
+
+
+def may_hold_flagged_host(text: Column) -> Column:
+    """False only when no token of the text can be a non-public host."""
+    return _any([*[text.contains(literal) for literal in P.HOST_LITERALS], text.rlike(P.HOST_HINT)])
 
 
 def host_tokens(text: Column) -> Column:
@@ -159,13 +193,23 @@ def host_tokens(text: Column) -> Column:
     stripped = F.btrim(text, F.lit(P.HOST_STRIP))
     tokens = F.transform(F.regexp_extract_all(stripped, F.lit(P.HOST_TOKEN), F.lit(0)), lambda t: F.btrim(t, F.lit("[]")))
     all_hosts = F.array_distinct(F.array_compact(F.array_append(tokens, _url_host(stripped))))
-    return F.when(text.rlike(P.HOST_HINT), all_hosts).otherwise(F.array().cast(_NO_TEXTS))
+    return F.when(may_hold_flagged_host(text), all_hosts).otherwise(F.array().cast(_NO_TEXTS))
+
+
+def guarded(text: Column, needs: Sequence[str], expression: str) -> Column:
+    """``rlike``, tried only on text that holds one of the literals."""
+    if not needs:
+        return text.rlike(expression)
+    holds = text.contains(needs[0])
+    for literal in needs[1:]:
+        holds = holds | text.contains(literal)
+    return holds & text.rlike(expression)
 
 
-def _any(text: Column, expressions: Sequence[str]) -> Column:
+def _any(tests: Iterable[Column]) -> Column:
     hit = F.lit(False)
-    for expression in expressions:
-        hit = hit | text.rlike(expression)
+    for test in tests:
+        hit = hit | test
     return hit
 
 
@@ -174,19 +218,18 @@ def sensitive_class_of_form(text: Column, private_names: Sequence[str] = ()) ->
 
     ``private_names`` are names of private repositories that may not appear.
     """
-    located = _any(text, [P.I + re.escape(n) for n in (*P.LOCATORS, *private_names)]) | text.rlike(P.GIT_DIRECTORY)
-    path = _any(text, P.PATHS)
-    for start in P.PATH_STARTS:
-        path = path | text.startswith(start)
-    secret = _any(text, P.SECRETS) | (text.contains("://") & text.rlike(P.URL_CREDENTIALS))
-    personal = (text.contains("@") & text.rlike(P.EMAIL)) | text.rlike(P.PHONE) | text.rlike(P.STRUCTURED_ID)
+    named = [text.rlike(P.I + re.escape(name)) for name in private_names]
+    located = [guarded(text, *test) for test in (*P.LOCATORS, *P.PATHS)]
+    starts = [text.startswith(start) for start in P.PATH_STARTS]
+    digits = text.rlike(P.NINE_DIGITS)
+    personal = guarded(text, *P.EMAIL) | (digits & text.rlike(P.PHONE)) | guarded(text, *P.STRUCTURED_ID)
     control, token, locator, host, account, person, detail = P.SENSITIVE_CLASSES
     return (
         F.when(text.rlike(P.CONTROL_OR_BIDI), control)
-        .when(secret, token)
-        .when(located | path, locator)
-        .when(F.exists(host_tokens(text), is_nonpublic_host), host)
-        .when(text.rlike(P.ACCOUNT), account)
+        .when(_any(guarded(text, *test) for test in P.SECRETS), token)
+        .when(_any([*starts, *named, *located]), locator)
+        .when(may_hold_flagged_host(text) & F.exists(host_tokens(text), is_nonpublic_host), host)
+        .when(digits & text.rlike(P.ACCOUNT), account)
         .when(personal, person)
         .when(text.rlike(P.VULNERABILITY), detail)
     )
@@ -194,4 +237,4 @@ def sensitive_class_of_form(text: Column, private_names: Sequence[str] = ()) ->
 
 def is_exempt(text: Column) -> Column:
     """A value that is exactly a digest or a UTC time."""
-    return _any(text, P.EXEMPT)
+    return _any(text.rlike(expression) for expression in P.EXEMPT)

@@ -60,9 +60,7 @@ def private_text_flags(text: Column, expressions: Mapping[str, str] = P.PRIVATE_
     """One boolean per pattern of the narrower scan; a literal test runs first where one is known."""
     flags = {}
     for name, expression in expressions.items():
-        need = P.PRIVATE_TEXT_NEEDS.get(name)
-        hit = text.rlike(expression)
-        flags[name] = text.contains(need) & hit if need else hit
+        flags[name] = X.guarded(text, P.PRIVATE_TEXT_NEEDS.get(name, ()), expression)
     return flags
 
 
