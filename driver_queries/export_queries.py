@@ -1 +1,251 @@
+"""Review gates, promotion, omissions, derived evidence and exported bundles."""
 
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from driver_queries.registry import query, table
+from ledgerloom.operators import contracts as C
+from ledgerloom.operators.findings import first_failure
+from ledgerloom.plans import export as E
+from ledgerloom.plans import packages as P
+
+_FLAGS = ("contains_secret", "contains_customer_data")
+
+
+def _review(scope: str, status: Column, role: Column, subject: Column, **extra: Column) -> Column:
+    return F.struct(
+        status.alias("status"), role.alias("reviewer_role"), F.lit(f"digest-{scope}").alias("review_digest"),
+        F.lit(scope).alias("review_scope"), subject.alias("reviewed_subject_digest"), *[v.alias(k) for k, v in extra.items()],
+    )
+
+
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as export candidates: every fault comes from a property of the order."""
+    status, priority, price = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_totalprice")
+    subject = F.concat(F.lit("subject-"), F.col("o_orderkey").cast("string"))
+    human = F.lit("authorized-human")
+    approved = F.lit("approved")
+    reviews = F.struct(
+        _review("privacy", F.when(price > 480000, "rejected").otherwise(approved), human, subject).alias("privacy"),
+        _review("security-boundary", approved, F.when(price < 10000, "synthetic-reviewer").otherwise(human), subject).alias("security_boundary"),
+        _review(
+            "ip", F.lit("not-applicable"), human, F.when(price.between(10000, 20000), "other").otherwise(subject),
+            unpublished_invention=price.between(20000, 25000), patent_candidate=F.lit(False),
+        ).alias("ip"),
+        _review(
+            "vulnerability", F.when(price.between(30000, 60000), "not-applicable").otherwise(approved), human, subject,
+            contains_vulnerability_information=price.between(25000, 35000), remediation_approved=F.lit(True),
+            embargo_status=F.when(price.between(35000, 38000), "embargoed").otherwise("not-embargoed"),
+        ).alias("vulnerability"),
+    )
+    lifecycle = (
+        F.when(priority == "5-LOW", "published").when(status == "F", "validated").when(status == "O", "sanitized").otherwise("collected")
+    )
+    entry = "struct<state:string,recorded_at:string,review_digest:string>"
+    event = F.struct(F.lit("2026-01-03T00:00:00Z").alias("recorded_at"), F.lit("event").alias("review_digest"))
+
+    def step(state: str, at: Column, review: Column) -> Column:
+        return F.struct(F.lit(state).alias("state"), at.alias("recorded_at"), review.alias("review_digest")).cast(entry)
+
+    none = F.lit(None).cast("string")
+    base = F.array(step("collected", F.lit("2026-01-01T00:00:00Z"), none), step("validated", F.lit("2026-01-02T00:00:00Z"), F.lit("first")))
+    other = F.when(priority == "4-NOT SPECIFIED", "other").otherwise("event")
+    history = F.when(status == "O", F.array_append(base, step("sanitized", F.lit("2026-01-03T00:00:00Z"), other))).otherwise(base)
+    request = "array<struct<path:string,rule_id:string,human_review_digest:string>>"
+
+    def asking(rule: str) -> Column:
+        return F.array(
+            F.struct(
+                F.lit("$.evidence_record.public_artifacts").alias("path"), F.lit(rule).alias("rule_id"), F.lit("h").alias("human_review_digest")
+            )
+        ).cast(request)
+
+    omissions = (
+        F.when(priority == "1-URGENT", asking("OMIT-PUBLIC-ARTIFACTS")).when(priority == "2-HIGH", asking("OMIT-ANYTHING"))
+        .otherwise(F.array().cast(request))
+    )
+    code = F.upper(F.hex(F.col("o_orderkey")))
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.concat(F.lit("PM-EXPORT-CANDIDATE-"), F.lpad(code, 32, "0")).alias("candidate_id"),
+        F.when(price > 250000, "pass").otherwise("fail").alias("status"), F.when(price > 260000, "pass").otherwise("fail").alias("original_status"),
+        lifecycle.alias("lifecycle"), lifecycle.alias("original_lifecycle"), history.alias("lifecycle_history"), event.alias("event"),
+        reviews.alias("reviews"), F.struct(*[(price.between(60000, 61000 + 1000 * i)).alias(n) for i, n in enumerate(_FLAGS)]).alias("sensitivity"),
+        subject.alias("review_subject_digest"), F.array("o_orderstatus", "o_orderpriority").alias("public_artifacts"),
+        omissions.alias("omissions"), "o_custkey",
+    )
+
+
+def _review_rules() -> list[C.Rule]:
+    return E.review_rules(E.CANDIDATE_MODE, flags=_FLAGS, subject=F.col("review_subject_digest"))
+
+
+_REVIEW_SQL = """
+    SELECT o_orderkey, 'review-required' AS code, 'reviews.privacy.status' AS field FROM orders WHERE o_totalprice > 480000
+    UNION ALL SELECT o_orderkey, 'review-role', 'reviews.security_boundary.reviewer_role' FROM orders WHERE o_totalprice < 10000
+    UNION ALL SELECT o_orderkey, 'review-subject', 'reviews.ip.reviewed_subject_digest' FROM orders WHERE o_totalprice BETWEEN 10000 AND 20000
+    UNION ALL SELECT o_orderkey, 'ip-gate', 'reviews.ip' FROM orders WHERE o_totalprice BETWEEN 20000 AND 25000
+    UNION ALL SELECT o_orderkey, 'vulnerability-gate', 'reviews.vulnerability.embargo_status' FROM orders WHERE o_totalprice BETWEEN 35000 AND 38000
+    UNION ALL SELECT o_orderkey, 'vulnerability-gate', 'reviews.vulnerability' FROM orders WHERE o_totalprice BETWEEN 30000 AND 35000
+    UNION ALL SELECT o_orderkey, 'sensitivity-gate', 'sensitivity' FROM orders WHERE o_totalprice BETWEEN 60000 AND 62000
+"""
+
+
+@query(_REVIEW_SQL)
+def q_review_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The review gate of every candidate, each failing rule."""
+    found = C.check(_candidates(spark, sf_dir), _review_rules(), path=F.col("o_orderkey"), key=F.col("o_orderkey"), keep=["o_orderkey"])
+    return found.select("o_orderkey", "code", "field")
+
+
+@query(
+    """
+    SELECT o_orderkey,
+      CASE WHEN o_orderpriority = '5-LOW' THEN 'lifecycle-limit' WHEN o_orderstatus = 'P' THEN 'lifecycle-not-validated'
+           WHEN o_orderstatus = 'O' AND o_orderpriority = '4-NOT SPECIFIED' THEN 'lifecycle-preservation' END AS promotion_error,
+      CASE WHEN o_orderpriority = '5-LOW' THEN 'published' WHEN o_orderstatus = 'P' THEN 'collected' ELSE 'sanitized' END AS lifecycle,
+      CASE WHEN o_orderstatus = 'O' OR (o_orderstatus = 'F' AND o_orderpriority <> '5-LOW') THEN 3 ELSE 2 END AS entries,
+      CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '4-NOT SPECIFIED' THEN 'other'
+           WHEN o_orderstatus = 'O' OR (o_orderstatus = 'F' AND o_orderpriority <> '5-LOW') THEN 'event' ELSE 'first' END AS last_review
+    FROM orders
+    """
+)
+def q_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lifecycle step of an export."""
+    done = E.promote(_candidates(spark, sf_dir), lifecycle="lifecycle", history="lifecycle_history", event="event")
+    last = F.try_element_at("lifecycle_history", F.lit(-1))["review_digest"]
+    return done.select("o_orderkey", "promotion_error", "lifecycle", F.size("lifecycle_history").alias("entries"), last.alias("last_review"))
+
+
+@query(
+    """
+    SELECT o_orderkey, CASE WHEN o_orderpriority = '2-HIGH' THEN 'omission-rule' END AS omission_error,
+           CASE WHEN o_orderpriority = '1-URGENT' THEN 0 ELSE 2 END AS artifacts,
+           CASE WHEN o_orderpriority = '1-URGENT' THEN '[{"path":"$.evidence_record.public_artifacts","rule_id":"OMIT-PUBLIC-ARTIFACTS",'
+             || '"category":"optional-public-reference","action":"omitted-by-profile","human_review_digest":"h"}]' ELSE '[]' END AS log
+    FROM orders
+    """
+)
+def q_omissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Permitted omissions blank a field and are logged without its value."""
+    done = E.apply_omissions(
+        _candidates(spark, sf_dir), requested="omissions", fields={"$.evidence_record.public_artifacts": "public_artifacts"}
+    )
+    return done.select(
+        "o_orderkey", "omission_error", F.size("public_artifacts").alias("artifacts"), F.to_json("omission_log").alias("log")
+    )
+
+
+_PRODUCERS = ("ci", "test-runner", "formal-tool", "security-tool", "human-review", "ci", "test-runner")
+_REQUIREMENTS = {f"tool-{n}": "required" if n <= 2 else "optional" for n in range(1, 8)}
+_LINE_STATUS = "CASE WHEN l_quantity > 46 THEN 'fail' WHEN l_discount < 0.01 THEN 'skip' WHEN l_tax > 0.07 THEN 'unsupported' ELSE 'pass' END"
+
+
+def _bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as producer records, orders as packages with seven tool bindings each."""
+    text = lambda prefix, *names: F.concat_ws("-", F.lit(prefix), *names)
+    number = F.col("l_linenumber")
+    producer = F.try_element_at(F.array(*[F.lit(p) for p in _PRODUCERS]), number)
+    records = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("package_id"), F.concat(F.lit("tool-"), number.cast("string")).alias("tool_id"),
+        text("e", "l_orderkey", "l_linenumber", "l_partkey").alias("evidence_id"), producer.alias("producer_type"), F.lit("producer").alias("producer_id"),
+        F.expr(_LINE_STATUS).alias("status"), F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("started_at"),
+        F.lit("2026-01-01T00:00:00Z").alias("completed_at"), text("case", "l_partkey").alias("case_digest"), text("in", "l_suppkey").alias("input_digest"),
+        F.lit("impl").alias("implementation_digest_product"), F.lit("art").alias("artifact_digest"), text("out", "l_partkey").alias("output_digest"),
+        F.lit("summary").alias("summary"), F.array(text("limit", "l_returnflag"), F.lit("mode")).alias("limitations"),
+    )
+    orders = table(spark, sf_dir, "orders")
+    roles = F.explode(F.array(*[F.lit(r) for r in _REQUIREMENTS])).alias("tool_role_id")
+    bindings = orders.select(F.col("o_orderkey").alias("package_id"), "o_orderpriority", roles).select(
+        "package_id", "tool_role_id", text("id", "tool_role_id").alias("identity"), F.lit("1.0").alias("version"),
+        text("impl", "tool_role_id", "o_orderpriority").alias("implementation_digest"), F.lit("in/1").alias("input_contract"),
+        F.lit("out/1").alias("output_contract"), text("b", "package_id", "tool_role_id").alias("binding_digest"),
+    )
+    packages = orders.select(
+        F.col("o_orderkey").alias("package_id"), text("p", "o_orderkey").alias("package_digest"), F.lit("2026-02-01T00:00:00Z").alias("validated_at"),
+        text("s", "o_custkey").alias("subject"), F.lit("suite").alias("suite_digest"),
+    )
+    return P.bound_records(records, bindings, packages)
+
+
+@query(
+    f"""
+    SELECT 'e-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey AS id,
+           ['test', 'conformance', 'proof-check', 'security-scan', 'review', 'test', 'conformance'][l_linenumber] AS type, s AS status,
+           s NOT IN ('skip', 'unsupported') AS ran, l_linenumber <= 2 AS required, CASE WHEN s IN ('skip', 'unsupported') THEN 'limit-' || l_returnflag END AS reason,
+           'suite,case-' || l_partkey || ',in-' || l_suppkey || ',impl,art' AS inputs,
+           'collected ' || strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') || ' ; validated 2026-02-01T00:00:00Z p-' || l_orderkey AS history,
+           CASE WHEN l_linenumber = 5 THEN 'human-review' ELSE 'local-runner' END AS producer, 'impl-tool-' || l_linenumber || '-' || o_orderpriority AS source,
+           's-' || o_custkey AS subject
+    FROM (SELECT *, {_LINE_STATUS} AS s FROM lineitem) JOIN orders ON l_orderkey = o_orderkey
+    """
+)
+def q_derive_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence rows derived from producer records, tool bindings and packages."""
+    derived = P.derive_evidence(_bound(spark, sf_dir), _REQUIREMENTS)
+    steps = F.transform("lifecycle_history", lambda h: F.concat_ws(" ", h["state"], h["recorded_at"], h["review_digest"]))
+    return derived.select(
+        "id", "type", "status", "execution.ran", "execution.required", "execution.reason", F.array_join("input_digests", ",").alias("inputs"),
+        F.array_join(steps, " ; ").alias("history"), F.col("producer.type").alias("producer"), "tool.source", "subject",
+    )
+
+
+def _staged_rules() -> list[C.Rule]:
+    return [
+        *E.at_stage("lifecycle", E.lifecycle_rules(F.col("lifecycle"), F.col("original_lifecycle"))),
+        *E.at_stage("candidate-id", [C.matches_by("candidate_id", F.lit(E.CANDIDATE_MODE), E.CANDIDATE_IDS, code="candidate-id")]),
+        *E.at_stage("reviews", _review_rules()),
+    ]
+
+
+_FAILURES_SQL = f"""
+    SELECT o_orderkey, 1 AS stage, CASE WHEN o_orderpriority <> '5-LOW' THEN 'lifecycle-not-validated' ELSE 'lifecycle-limit' END AS code,
+           'evidence.lifecycle' AS field FROM orders WHERE o_orderstatus = 'P' OR o_orderpriority = '5-LOW'
+    UNION ALL SELECT o_orderkey, 8, code, field FROM ({_REVIEW_SQL})
+"""
+
+
+@query(
+    f"""
+    SELECT o_orderkey, stage, code, field FROM (
+      SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY stage, code, field) AS n FROM ({_FAILURES_SQL})) WHERE n = 1
+    """
+)
+def q_first_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2: the earliest failing stage of every candidate."""
+    found = C.check(_candidates(spark, sf_dir), _staged_rules(), path=F.col("o_orderkey"), key=F.col("o_orderkey"), keep=["o_orderkey"])
+    return first_failure(found, ["o_orderkey"], "stage", ["code", "field"])
+
+
+@query(
+    f"""
+    WITH f AS (
+      SELECT * FROM ({_FAILURES_SQL})
+      UNION ALL SELECT o_orderkey, 10, 'omission-rule', 'omissions' FROM orders WHERE o_orderpriority = '2-HIGH'
+      UNION ALL SELECT o_orderkey, 11, 'promotion', 'lifecycle' FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority = '4-NOT SPECIFIED'
+      UNION ALL SELECT o_orderkey, 11, 'status-preservation', 'status' FROM orders WHERE o_totalprice > 250000 AND o_totalprice <= 260000),
+    e AS (SELECT o_orderkey, stage, code, field FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY stage, code, field) AS n FROM f) WHERE n = 1)
+    SELECT o_orderkey, e.stage, e.code, e.field,
+           CASE WHEN e.stage IS NULL THEN 'candidate' END AS publication, CASE WHEN e.stage IS NULL THEN {len(E.COMMON_CHECKS) + 3} END AS checks,
+           CASE WHEN e.stage IS NULL THEN CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END END AS omitted,
+           CASE WHEN e.stage IS NULL THEN CASE WHEN o_orderstatus = 'F' THEN 'validated' ELSE 'sanitized' END || '>sanitized' END AS lifecycle,
+           CASE WHEN e.stage IS NULL THEN 'privacy:approved,security-boundary:approved,ip:not-applicable,vulnerability:'
+             || CASE WHEN o_totalprice BETWEEN 30000 AND 60000 THEN 'not-applicable' ELSE 'approved' END END AS reviews
+    FROM orders LEFT JOIN e USING (o_orderkey)
+    """
+)
+def q_export_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bundles of the accepted candidates and the failing stage of the others."""
+    bundles, rejected = E.export_bundle(
+        _candidates(spark, sf_dir), _staged_rules(), key="o_orderkey", mode=E.CANDIDATE_MODE, interface="staged-file",
+        digest_columns=["candidate_id", "status", "o_custkey"],
+    )
+    scopes = F.transform("review_provenance", lambda r: F.concat(r["scope"], F.lit(":"), r["status"]))
+    none = F.lit(None).cast("string")
+    accepted = bundles.select(
+        "o_orderkey", F.lit(None).cast("int").alias("stage"), none.alias("code"), none.alias("field"), F.col("publication.status").alias("publication"),
+        F.size("report.checks_executed").alias("checks"), F.size("omissions").alias("omitted"),
+        F.concat("report.input_lifecycle", F.lit(">"), "report.output_lifecycle").alias("lifecycle"), F.array_join(scopes, ",").alias("reviews"),
+    )
+    return accepted.unionByName(rejected, allowMissingColumns=True)
