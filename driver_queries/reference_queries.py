@@ -9,7 +9,6 @@ from driver_queries.registry import query, table
 from ledgerloom.operators import reconcile as K
 from ledgerloom.operators import references as R
 
-SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW")
 
 
@@ -243,24 +242,25 @@ def q_deny_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    WITH m AS (SELECT n_name AS role, c_mktsegment AS status, CASE WHEN c_acctbal < -900 THEN 'OTHER' ELSE c_mktsegment END AS to_status
-               FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal < 0 AND c_mktsegment <> 'MACHINERY'),
-         w AS (SELECT n_name AS role, unnest(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'MACHINERY']) AS status FROM nation),
+    WITH m AS (SELECT n_name AS role, CASE WHEN s_acctbal < 2000 THEN 'low' WHEN s_acctbal < 4000 THEN 'fair' WHEN s_acctbal < 6000 THEN 'good' ELSE 'high' END AS status,
+                      s_acctbal >= 5000 AND s_acctbal < 6000 AS other
+               FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+         w AS (SELECT n_name AS role, unnest(['low', 'fair', 'good']) AS status FROM nation),
          k AS (SELECT coalesce(w.role, m.role) AS role, coalesce(w.status, m.status) AS status, bool_or(w.role IS NOT NULL) AS wanted,
-                      count(m.role) AS n, count(*) FILTER (m.to_status <> m.status) AS altered
+                      count(m.role) AS n, count(*) FILTER (other) AS altered
                FROM w FULL JOIN m ON w.role = m.role AND w.status = m.status GROUP BY 1, 2)
     SELECT role, status, CASE WHEN NOT wanted THEN 'unknown-pair' WHEN n = 0 THEN 'unmapped' WHEN n > 1 THEN 'mapped-twice' ELSE 'not-identity' END AS reason
     FROM k WHERE NOT wanted OR n <> 1 OR altered > 0
     """
 )
 def q_mapping_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every role maps every status exactly once, to itself."""
-    roles = table(spark, sf_dir, "nation").select(F.col("n_name").alias("role"), F.col("n_nationkey").alias("c_nationkey"))
-    customers = table(spark, sf_dir, "customer").where((F.col("c_acctbal") < 0) & (F.col("c_mktsegment") != "MACHINERY"))
-    to_status = F.when(F.col("c_acctbal") < -900, "OTHER").otherwise(F.col("c_mktsegment"))
-    mapping = customers.join(roles, "c_nationkey").select("role", F.col("c_mktsegment").alias("raw"), to_status.alias("normalized"))
-    statuses = ["AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY"]
-    return K.mapping_complete(roles, "role", statuses, mapping, "raw", "normalized")
+    """Every nation maps every balance band exactly once, to itself."""
+    roles = table(spark, sf_dir, "nation").select(F.col("n_name").alias("role"), F.col("n_nationkey").alias("s_nationkey"))
+    balance = F.col("s_acctbal")
+    band = F.when(balance < 2000, "low").when(balance < 4000, "fair").when(balance < 6000, "good").otherwise("high")
+    suppliers = table(spark, sf_dir, "supplier").join(roles, "s_nationkey")
+    mapping = suppliers.select("role", band.alias("raw"), F.when(balance.between(5000, 5999.995), "other").otherwise(band).alias("normalized"))
+    return K.mapping_complete(roles, "role", ["low", "fair", "good"], mapping, "raw", "normalized")
 
 
 @query(
@@ -302,20 +302,23 @@ def q_rederive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    WITH m AS (SELECT CASE WHEN l_returnflag = 'R' THEN 'returned' ELSE 'accepted' END AS s, l_partkey AS value
-               FROM lineitem WHERE l_quantity > 47 AND l_returnflag <> 'N'),
+    WITH m AS (SELECT 'good' AS s, doc_id AS value FROM labels WHERE quality = 1 UNION ALL SELECT 'poor', doc_id FROM labels WHERE quality = 0
+               UNION ALL SELECT 'toxic', doc_id FROM labels WHERE toxic = 1),
          k AS (SELECT value, min(s) AS low, max(s) AS high, bool_or(u) AS u
-               FROM (SELECT value, s, false AS u FROM m UNION ALL SELECT p_partkey, NULL, true FROM part WHERE p_size <= 40) GROUP BY value)
+               FROM (SELECT value, s, false AS u FROM m UNION ALL SELECT page_id, NULL, true FROM pages) GROUP BY value)
     SELECT value, CASE WHEN NOT u THEN 'outside-universe' WHEN low IS NULL THEN 'uncovered' ELSE 'overlap' END AS reason
     FROM k WHERE NOT u OR low IS NULL OR low <> high
     """
 )
 def q_disjoint_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Named sets that should be disjoint and cover the universe."""
-    name = F.when(F.col("l_returnflag") == "R", "returned").otherwise("accepted")
-    lines = table(spark, sf_dir, "lineitem").where("l_quantity > 47 AND l_returnflag <> 'N'")
-    members = lines.select(name.alias("s"), F.col("l_partkey").alias("value"))
-    universe = table(spark, sf_dir, "part").where("p_size <= 40").select(F.col("p_partkey").alias("value"))
+    """Named sets of ids that should be disjoint and cover the page ids."""
+    sets = F.array_compact(
+        F.array(
+            F.when(F.col("quality") == 1, F.lit("good")), F.when(F.col("quality") == 0, F.lit("poor")), F.when(F.col("toxic") == 1, F.lit("toxic"))
+        )
+    )
+    members = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("value"), F.explode(sets).alias("s"))
+    universe = table(spark, sf_dir, "pages").select(F.col("page_id").alias("value"))
     return K.disjoint_cover(members, "s", "value", universe)
 
 

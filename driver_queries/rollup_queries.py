@@ -210,63 +210,60 @@ def q_lane_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _WARNINGS_SQL = _LANES_SQL + """,
     k AS (
-      SELECT o_custkey, bool_or(o_orderpriority = '2-HIGH' AND len(observed_lanes) = 0) AS unknown, bool_or(len(missing_lanes) > 0) AS missing,
+      SELECT o_custkey, o_orderpriority, bool_or(o_orderpriority = '2-HIGH' AND len(observed_lanes) = 0) AS unknown, bool_or(len(missing_lanes) > 0) AS missing,
              bool_and(status = 'satisfied') AS fine, bool_or(list_contains(warning_codes, 'all-evidence-derived-from-source')) AS a,
              bool_or(list_contains(warning_codes, 'insufficient-independent-lanes')) AS b,
              bool_or(list_contains(warning_codes, 'missing-spec-derived-evidence')) AS c,
              bool_or(list_contains(warning_codes, 'same-generator-lineage')) AS d
-      FROM lanes WHERE o_orderpriority IN ('5-LOW', '2-HIGH') AND claim_id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY o_custkey),
+      FROM lanes GROUP BY o_custkey, o_orderpriority),
     native AS (
-      SELECT o_custkey, CASE WHEN unknown THEN 'error' WHEN missing OR a OR b OR d THEN 'blocked' WHEN c THEN 'warning' WHEN fine THEN 'satisfied' ELSE 'error' END AS native_state,
+      SELECT o_custkey, o_orderpriority,
+             CASE WHEN unknown THEN 'error' WHEN missing OR a OR b OR d THEN 'blocked' WHEN c THEN 'warning' WHEN fine THEN 'satisfied' ELSE 'error' END AS native_state,
              array_to_string(list_filter([CASE WHEN a THEN 'all-evidence-derived-from-source' END, CASE WHEN b THEN 'insufficient-independent-lanes' END,
                           CASE WHEN c THEN 'missing-spec-derived-evidence' END, CASE WHEN d THEN 'same-generator-lineage' END], lambda x: x IS NOT NULL), ',') AS warning_codes
       FROM k)
 """
+_PACKAGE = ["o_custkey", "o_orderpriority"]
 
 
 def _native(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where("o_orderpriority IN ('5-LOW', '2-HIGH') AND o_orderstatus <> 'P'").select(
-        F.col("o_orderkey").alias("claim_id"), "o_custkey", "o_orderpriority"
-    )
+    """A customer's orders of one priority are a package; an order without any observed lane may name an unknown code."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("claim_id"), *_PACKAGE)
     claims = _lanes(spark, sf_dir).join(orders, "claim_id")
     stray = (F.col("o_orderpriority") == "2-HIGH") & (F.size("observed_lanes") == 0)
     codes = F.when(stray, F.array_append("warning_codes", F.lit("unreviewed-warning"))).otherwise(F.col("warning_codes"))
-    return A.warning_policy(claims.withColumn("warning_codes", codes), ["o_custkey"], P.BLOCKING_WARNINGS, P.VISIBLE_WARNINGS)
+    return A.warning_policy(claims.withColumn("warning_codes", codes), _PACKAGE, P.BLOCKING_WARNINGS, P.VISIBLE_WARNINGS)
 
 
 @query(
     _WARNINGS_SQL + """
-    SELECT o_custkey, native_state, warning_codes,
+    SELECT o_custkey, o_orderpriority, native_state, warning_codes,
            CASE native_state WHEN 'blocked' THEN 'blocking' WHEN 'warning' THEN 'visible-nonblocking' WHEN 'satisfied' THEN 'not-applicable' ELSE 'fail-closed' END AS policy_treatment
     FROM native
     """
 )
 def q_warning_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One native state per customer; an unknown warning code fails closed."""
+    """One native state per package; an unknown warning code fails closed."""
     return _native(spark, sf_dir).withColumn("warning_codes", F.array_join("warning_codes", ","))
 
 
-_CUSTOMER_GATE_SQL = f"""
-    SELECT o_custkey, CASE WHEN bool_or(l_linenumber = 1) AND bool_or(l_linenumber = 2)
+_PACKAGE_GATE_SQL = f"""
+    SELECT o_custkey, o_orderpriority, CASE WHEN bool_or(l_linenumber = 1) AND bool_or(l_linenumber = 2)
              AND count(*) FILTER (l_linenumber = 7 OR (l_linenumber <= 2 AND {_STATUS_SQL} <> 'pass')) = 0 THEN 'satisfied' ELSE 'blocked' END AS gate_state
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F' AND o_orderpriority = '5-LOW' GROUP BY o_custkey
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, o_orderpriority
 """
 
 
 @query(
     _WARNINGS_SQL + f"""
-    SELECT coalesce(g.o_custkey, n.o_custkey) AS o_custkey, coalesce(gate_state, 'not-evaluated') AS gate_state,
-           coalesce(native_state, 'not-evaluated') AS native_state,
+    SELECT n.o_custkey, n.o_orderpriority, coalesce(gate_state, 'not-evaluated') AS gate_state, native_state,
            CASE WHEN gate_state = 'blocked' OR native_state = 'blocked' THEN 'blocked' WHEN gate_state IS DISTINCT FROM 'satisfied' THEN 'not-evaluated'
                 WHEN native_state = 'warning' THEN 'satisfied-with-warnings' WHEN native_state = 'satisfied' THEN 'satisfied' ELSE 'not-evaluated' END AS judgment
-    FROM ({_CUSTOMER_GATE_SQL}) g FULL JOIN native n ON g.o_custkey = n.o_custkey
+    FROM native n LEFT JOIN ({_PACKAGE_GATE_SQL}) g ON g.o_custkey = n.o_custkey AND g.o_orderpriority = n.o_orderpriority
     """
 )
 def q_combined_judgment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A10: gate and native state of each customer, combined."""
-    orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'F' AND o_orderpriority = '5-LOW'").select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_custkey"
-    )
+    """A10: gate and native state of each package, combined; a package without a record is not evaluated."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), *_PACKAGE)
     records = _records(spark, sf_dir).join(orders, "l_orderkey")
-    gate = A.gate_rollup(records, ["o_custkey"], "role", "status", ROLES)
-    return A.combine_judgments(gate, _native(spark, sf_dir), ["o_custkey"])
+    return A.combine_judgments(A.gate_rollup(records, _PACKAGE, "role", "status", ROLES), _native(spark, sf_dir), _PACKAGE)

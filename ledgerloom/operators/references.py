@@ -48,7 +48,7 @@ def inactive_references(
     """
     live = edges.where(F.col(edge_status).isin(list(active)))
     dead = targets.where(F.col(lifecycle).isin(list(inactive))).select(*on, lifecycle)
-    return live.join(dead, list(on), "inner")
+    return lookup_join(live, dead, on, "inner")
 
 
 def same_subject(edges: DataFrame, targets: DataFrame, on: Sequence[str], source: str, target: str) -> DataFrame:

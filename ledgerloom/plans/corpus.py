@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.digest import DIGEST_PATTERN
+from ledgerloom.functions.joins import lookup_join
 from ledgerloom.functions.times import parse_time
 from ledgerloom.operators import contracts as C
 from ledgerloom.operators import references as R
@@ -360,9 +361,9 @@ def reference_findings(records: DataFrame) -> DataFrame:
     declared = manifests.select("path", "id", F.explode("digests.evidence_output_digests").alias("digest"))
     derived = (
         edges.where((F.col("record_type") == "evidence-manifest") & (F.col("field") == "evidence"))
-        .join(manifests.select("path"), "path", "left_semi").join(evidence, "dst_id", "inner")
-        .select("path", "id", F.col("output_digest").alias("digest"))
+        .join(manifests.select("path"), "path", "left_semi")
     )
+    derived = lookup_join(derived, evidence, ["dst_id"]).select("path", "id", F.col("output_digest").alias("digest"))
     sets = as_findings(
         R.set_equality(declared, derived, ["path", "id"], "digest"), "evidence-output-digest-set", F.col("path"),
         "evidence_output_digests must equal referenced evidence output digests", F.col("id"),
