@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from driver_queries.registry import query, table
 from ledgerloom.operators import leaves as L
 from ledgerloom.operators import text_scan as T
+from ledgerloom.sources.tables import read_for_scan
+
+
+def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return read_for_scan(spark, f"{sf_dir}/documents.parquet", ["doc_id", *columns], "doc_id")
+
+
+def _pages(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return read_for_scan(spark, f"{sf_dir}/pages.parquet", ["page_id", *columns], "page_id")
+
 
 # The SQL engine's regular expressions have no look-around, so its patterns name the neighbouring
 # character instead, which is the same for a test of existence.
@@ -64,7 +74,7 @@ def _class_sql(text: str) -> str:
 @query(f"SELECT * FROM (SELECT doc_id, {_class_sql('text')} AS sensitive_class FROM documents) WHERE sensitive_class IS NOT NULL")
 def q_sensitive_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sensitive class of every document that has one."""
-    found = T.classify_sensitive(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    found = T.classify_sensitive(_documents(spark, sf_dir, "text"), "text")
     return found.where(F.col("sensitive_class").isNotNull()).select("doc_id", "sensitive_class")
 
 
@@ -76,7 +86,7 @@ def q_sensitive_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_sensitive_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents per source, language and class."""
-    found = T.classify_sensitive(table(spark, sf_dir, "documents").select("source", "lang", "text"), "text")
+    found = T.classify_sensitive(_documents(spark, sf_dir, "source", "lang", "text"), "text")
     label = F.coalesce("sensitive_class", F.lit("none")).alias("sensitive_class")
     return found.groupBy("source", "lang", label).agg(F.count(F.lit(1)).alias("n"))
 
@@ -84,7 +94,7 @@ def q_sensitive_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT * FROM (SELECT page_id, {_class_sql('html')} AS sensitive_class FROM pages) WHERE sensitive_class IS NOT NULL")
 def q_sensitive_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sensitive class of whole web pages."""
-    found = T.classify_sensitive(table(spark, sf_dir, "pages").select("page_id", "html"), "html")
+    found = T.classify_sensitive(_pages(spark, sf_dir, "html"), "html")
     return found.where(F.col("sensitive_class").isNotNull()).select("page_id", "sensitive_class")
 
 
@@ -122,7 +132,7 @@ def q_nonpublic_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(".host.lan"),
     )
     events = table(spark, sf_dir, "events").select("event_id", text.alias("text"))
-    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("event_id"), "text")
+    documents = _documents(spark, sf_dir, "text").select(F.col("doc_id").alias("event_id"), "text")
     return T.nonpublic_hosts(events.unionByName(documents), ["event_id"], "text")
 
 
@@ -142,7 +152,7 @@ def q_scan_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4: every string leaf of two record shapes; findings name path and class, never the value."""
     customers = table(spark, sf_dir, "customer").select(F.lit("customer").alias("t"), F.col("c_custkey").alias("id"), "c_name", "c_mktsegment")
     body = F.struct("text", F.array("lang", "source").alias("tags")).alias("body")
-    documents = table(spark, sf_dir, "documents").select(F.lit("document").alias("t"), F.col("doc_id").alias("id"), body)
+    documents = _documents(spark, sf_dir, "text", "lang", "source").select(F.lit("document").alias("t"), F.col("doc_id").alias("id"), body)
     leaves = L.flatten_leaves(customers, ["t", "id"]).unionByName(L.flatten_leaves(documents, ["t", "id"]))
     return T.scan_strings(leaves, ["t", "id"])
 
@@ -168,8 +178,8 @@ _PRIVATE_SQL = {
 )
 def q_private_text_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5: hits per pattern of the narrower scan, in one pass."""
-    documents = table(spark, sf_dir, "documents").select("source", "text")
-    pages = table(spark, sf_dir, "pages").select(F.lit("pages").alias("source"), F.col("html").alias("text"))
+    documents = _documents(spark, sf_dir, "source", "text").select("source", "text")
+    pages = _pages(spark, sf_dir, "html").select(F.lit("pages").alias("source"), F.col("html").alias("text"))
     return T.private_text_hits(documents.unionByName(pages), "text", ["source"])
 
 
@@ -182,5 +192,5 @@ def q_private_text_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_prohibited_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A subject and a word of a closed list within 80 characters, in either order."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = _documents(spark, sf_dir, "text")
     return T.prohibited_claims(documents, "text", "license", verbs="(?:released?|under)").select("doc_id")

@@ -79,20 +79,35 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _ipv4_number(address: Column) -> Column:
-    octets = F.transform(F.split(address, r"\."), lambda octet: octet.try_cast("bigint"))
-    return F.aggregate(octets, F.lit(0).cast("bigint"), lambda number, octet: number * 256 + octet)
+def _ipv4_hex(address: Column) -> Column:
+    """Eight hexadecimal digits of a dotted quad."""
+    return F.array_join(F.transform(F.split(address, r"\."), lambda octet: F.lpad(F.lower(F.hex(octet.try_cast("int"))), 2, "0")), "")
 
 
-def _in_ipv4(number: Column, networks: Sequence[str]) -> Column:
-    inside = F.lit(False)
+def _prefixes(networks: Sequence[str]) -> str:
+    """Alternatives of the leading hexadecimal digits of networks."""
+    found = []
     for network in map(ipaddress.ip_network, networks):
-        inside = inside | number.between(int(network.network_address), int(network.broadcast_address))
-    return inside
+        digits = f"{int(network.network_address):0{network.max_prefixlen // 4}x}"
+        whole, rest = divmod(network.prefixlen, 4)
+        if rest:
+            first = int(digits[whole], 16)
+            found += [digits[:whole] + f"{first + i:x}" for i in range(1 << (4 - rest))]
+        else:
+            found.append(digits[:whole])
+    return "|".join(found)
 
 
-def _special_ipv4(number: Column) -> Column:
-    return _in_ipv4(number, P.IPV4_SPECIAL) & ~_in_ipv4(number, P.IPV4_GLOBAL_EXCEPTIONS)
+# Leading hexadecimal digits of addresses that are not globally routable; an IPv4 address inside IPv6
+# follows the IPv4 list.
+_V4_SPECIAL, _V4_GLOBAL = _prefixes(P.IPV4_SPECIAL), _prefixes(P.IPV4_GLOBAL_EXCEPTIONS)
+_MAPPED = _prefixes([P.IPV6_MAPPED_IPV4])
+_V6_SPECIAL = f"{_prefixes(P.IPV6_SPECIAL)}|{_MAPPED}(?:{_V4_SPECIAL})"
+_V6_GLOBAL = f"{_prefixes(P.IPV6_GLOBAL_EXCEPTIONS)}|{_MAPPED}(?:{_V4_GLOBAL})"
+
+
+def _special(digits: Column, special: str, exceptions: str) -> Column:
+    return _let(digits, lambda d: d.rlike(f"^(?:{special})") & ~d.rlike(f"^(?:{exceptions})"))
 
 
 def _with_dotted_tail_as_groups(address: Column) -> Column:
@@ -100,16 +115,14 @@ def _with_dotted_tail_as_groups(address: Column) -> Column:
 
     def rewrite(tail: Column) -> Column:
         head = F.substring(address, F.lit(1), F.char_length(address) - F.char_length(tail))
-        groups = _let(
-            _ipv4_number(tail), lambda n: F.lower(F.concat(F.hex(F.shiftright(n, 16)), F.lit(":"), F.hex(n.bitwiseAND(0xFFFF))))
-        )
+        groups = F.regexp_replace(_ipv4_hex(tail), "^(.{4})(.{4})", "$1:$2")
         return F.when(tail == "", address).when(tail.rlike(P.IPV4), F.concat(head, groups))
 
     return _let(F.regexp_extract(address, r":((?:[0-9]+\.){3}[0-9]+)\z", 1), rewrite)
 
 
-def _ipv6_groups(address: Column) -> Column:
-    """Eight 16-bit numbers of an IPv6 text, or NULL when it is not one."""
+def _ipv6_hex(address: Column) -> Column:
+    """Thirty-two hexadecimal digits of an IPv6 text, or NULL when it is not one."""
 
     def parts(half: Column) -> Column:
         return F.filter(F.split(half, ":", -1), lambda g: F.char_length(half) > 0)
@@ -128,34 +141,8 @@ def _ipv6_groups(address: Column) -> Column:
         return F.when(shaped, F.concat(s["left"], zeros, s["right"]))
 
     groups = _let(F.split(_with_dotted_tail_as_groups(address), "::", -1), fill)
-    return _let(
-        groups,
-        lambda g: F.when(
-            F.forall(g, lambda x: x.rlike(r"^[0-9a-f]{1,4}\z")), F.transform(g, lambda x: F.conv(x, 16, 10).cast("bigint"))
-        ),
-    )
-
-
-def _in_ipv6(groups: Column, networks: Sequence[str]) -> Column:
-    inside = F.lit(False)
-    for network in map(ipaddress.ip_network, networks):
-        base, bits = int(network.network_address), network.prefixlen
-        same = F.lit(True)
-        for i in range(8):
-            width = min(16, max(0, bits - 16 * i))
-            if width:
-                group = (base >> (112 - 16 * i)) & 0xFFFF
-                shift = 16 - width
-                same = same & (F.shiftright(F.get(groups, F.lit(i)), shift) == group >> shift)
-        inside = inside | same
-    return inside
-
-
-def _special_ipv6(groups: Column) -> Column:
-    mapped = F.get(groups, F.lit(6)) * 65536 + F.get(groups, F.lit(7))
-    return F.when(_in_ipv6(groups, [P.IPV6_MAPPED_IPV4]), _let(mapped, _special_ipv4)).otherwise(
-        _in_ipv6(groups, P.IPV6_SPECIAL) & ~_in_ipv6(groups, P.IPV6_GLOBAL_EXCEPTIONS)
-    )
+    text = _let(groups, lambda g: F.array_join(F.transform(g, lambda x: F.when(x.rlike(r"^[0-9a-f]{1,4}\z"), F.lpad(x, 4, "0")).otherwise("?")), ""))
+    return _let(text, lambda t: F.when(t.rlike(r"^[0-9a-f]{32}\z"), t))
 
 
 def is_nonpublic_host(host: Column) -> Column:
@@ -165,8 +152,8 @@ def is_nonpublic_host(host: Column) -> Column:
         named = name.isin(list(P.HOST_NAMES))
         for suffix in P.HOST_SUFFIXES:
             named = named | name.endswith(suffix)
-        address = F.when(name.rlike(P.IPV4), _let(_ipv4_number(name), _special_ipv4)).when(
-            name.rlike(P.IPV6_SHAPE), _let(_ipv6_groups(name), _special_ipv6)
+        address = F.when(name.rlike(P.IPV4), _special(_ipv4_hex(name), _V4_SPECIAL, _V4_GLOBAL)).when(
+            name.rlike(P.IPV6_SHAPE), _special(_ipv6_hex(name), _V6_SPECIAL, _V6_GLOBAL)
         )
         return named | F.coalesce(address, F.lit(False))
 

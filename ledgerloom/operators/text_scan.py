@@ -37,7 +37,8 @@ def classify_sensitive(
     )
     later = F.when(F.size("__others") > 0, F.get(classes, F.lit(0)))
     found = F.when(~X.is_exempt(raw), F.coalesce(first, later))
-    return prepared.withColumn(output, found).drop("__nfkc", "__others")
+    # Through a generator, so that a filter on the class stays above it and the text is scanned once.
+    return prepared.select(*df.columns, F.explode(F.array(found)).alias(output))
 
 
 def nonpublic_hosts(df: DataFrame, id_columns: Sequence[str], text: str) -> DataFrame:
