@@ -10,6 +10,7 @@ _RFC3339 = (
     r"^\d{4}-\d{2}-\d{2}"
     r"(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?(?:Z|[+-]\d{2}:\d{2})?)?\z"
 )
+_DATE = r"^\d{4}-\d{2}-\d{2}\z"
 _HAS_ZONE = r"(?:Z|:\d{2}(?:\.\d+)?[+-]\d{2}:\d{2})\z"
 _CANONICAL_UTC = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.(?!000000)\d{6})?Z\z"
 
@@ -19,8 +20,10 @@ def parse_time(text: Column) -> Column:
 
     The result does not depend on the session time zone.
     """
-    with_time = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}\z"), F.concat(text, F.lit("T00:00:00"))).otherwise(text)
-    with_zone = F.when(with_time.rlike(_HAS_ZONE), with_time).otherwise(F.concat(with_time, F.lit("Z")))
+    with_zone = (
+        F.when(text.rlike(_DATE), F.concat(text, F.lit("T00:00:00Z"))).when(text.rlike(_HAS_ZONE), text)
+        .otherwise(F.concat(text, F.lit("Z")))
+    )
     return F.when(text.rlike(_RFC3339), F.try_to_timestamp(with_zone))
 
 

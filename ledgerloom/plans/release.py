@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import contracts as C
+from ledgerloom.operators import history as H
 from ledgerloom.operators.findings import first_failure
+from ledgerloom.operators.reconcile import path_closure
+from ledgerloom.operators.rollup import CLAIM_RESULTS
 
 # States, overall results and their exit classes.
 REPLACED = ("superseded", "corrected")
@@ -132,3 +135,71 @@ def verification_result(classified: DataFrame, failures: DataFrame, release: str
         F.when(failed, exit_class(F.col("status"))).otherwise(F.col("exit_class")).alias("exit_class"),
         F.when(failed, F.col("reason")).alias("reason"),
     )
+
+
+def chain_failures(chain: DataFrame, at: Column, release: str = "release_id") -> DataFrame:
+    """(release, stage, status, reason) for every broken rule of the releases' status chains.
+
+    ``chain``: one row per release and revision with ``position`` (stored order), ``revision``,
+    ``status_set_digest``, ``previous_digest``, ``generated_at``, ``key_status``,
+    ``compromise_indicator`` and the columns of :func:`release_entry_rules`.
+    """
+    key, order = [release], ["position"]
+    broken = [
+        (H.revision_gaps(chain, key, order, "revision"), "status-chain-revision-sequence"),
+        (H.broken_links(chain, key, order, "status_set_digest", "previous_digest"), "status-chain-revision-binding"),
+        (H.strictly_increasing(chain, key, order, "generated_at"), "status-chain-revision-order"),
+        (H.state_rollback(chain, key, order, F.col("key_status") == "revoked"), "status-chain-key-state-rollback"),
+    ]
+    ended = H.state_rollback(chain, key, order, F.col("state") != "active").where(F.col("state") == "active")
+    broken.append((ended, "status-chain-release-state-rollback"))
+    entries = chain.withColumn("status", F.col("key_status"))
+    rules = [*release_entry_rules(at, release), *key_entry_rules(at)]
+    found = C.check(entries, rules, path=F.col(release), key=F.col(release), keep=key).select(release, F.col("code").alias("reason"))
+    for rows, reason in broken:
+        found = found.unionByName(rows.select(release, F.lit(reason).alias("reason")))
+    return found.select(release, F.lit("lifecycle").alias("stage"), F.lit("invalid-structure").alias("status"), "reason")
+
+
+def verify_releases(
+    releases: DataFrame, declared: DataFrame, actual: DataFrame, keys: DataFrame, chain: DataFrame, claims: DataFrame, at: Column,
+    *, self_path: str | None = None,
+) -> DataFrame:
+    """One verification result per release at an evaluation time.
+
+    ``releases``: (release_id, bundle_digest, key_id, signature_valid, linkage_valid, valid_from,
+    valid_until). ``declared`` and ``actual``: (release_id, path, digest, size). ``keys``: (key_id,
+    usage, status, valid_from, valid_until). ``chain``: see :func:`chain_failures`. ``claims``:
+    (release_id, result), one row per claim. Whether a signature is valid is an input.
+    """
+    release = ["release_id"]
+    closure = path_closure(declared, actual, release, self_path=self_path)
+    incomplete = F.col("reason").isin("path-missing", "path-extra", "digest-mismatch", "size-mismatch")
+    failures = closure.select(
+        "release_id", F.lit("structure").alias("stage"), F.when(incomplete, "incomplete-bundle").otherwise("invalid-structure").alias("status"), "reason"
+    )
+    trusted = valid_at(releases.withColumn("__at", at), keys, "key_id", "__at", "release-signing")
+    gates = F.array_compact(F.array(
+        F.when(F.col("trust_reason").isNotNull(), _failure("trust", "untrusted-key", F.col("trust_reason"))),
+        F.when(~F.coalesce("signature_valid", F.lit(False)), _failure("signature", "invalid-signature", F.lit("release-signature-invalid"))),
+        F.when(~F.coalesce("linkage_valid", F.lit(False)), _failure("linkage", "invalid-report-linkage", F.lit("static-report-linkage-invalid"))),
+    ))
+    failures = failures.unionByName(trusted.select("release_id", F.explode(gates).alias("f")).select("release_id", "f.stage", "f.status", "f.reason"))
+    broken = chain_failures(chain, at)
+    latest = H.latest_state(chain, release, "revision", ["key_status", "state"], broken)
+    counted = claims.groupBy(*release).agg(
+        *[F.count_if(F.col("result") == r).alias("n_" + r.replace("-", "_")) for r in CLAIM_RESULTS]
+    )
+    counts = ["n_" + r.replace("-", "_") for r in CLAIM_RESULTS]
+    joined = releases.join(latest, release, "left").join(counted, release, "left").select(
+        "release_id", "valid_from", "valid_until", "key_status", F.col("state").alias("release_state"), "latest_revision",
+        *[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in counts],
+    )
+    absent = joined.where(F.col("latest_revision").isNull()).select(
+        "release_id", F.lit("lifecycle").alias("stage"), F.lit("invalid-structure").alias("status"), F.lit("status-chain-missing").alias("reason")
+    )
+    return verification_result(classify_release(joined, at), failures.unionByName(broken).unionByName(absent), "release_id")
+
+
+def _failure(stage: str, status: str, reason: Column) -> Column:
+    return F.struct(F.lit(stage).alias("stage"), F.lit(status).alias("status"), reason.alias("reason"))

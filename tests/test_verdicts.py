@@ -165,3 +165,53 @@ def test_status_entries_and_results(spark):
     assert (result["x"].overall, result["x"].reason, result["x"].release_state) == (R.VERIFIED, None, "active")
     copies = spark.createDataFrame([("a",), ("a",), ("b",)], "rel string")
     assert [(r.rel, r.entries) for r in R.entry_count(copies, ["rel"]).collect()] == [("a", 2)]
+
+
+def test_releases_are_verified_end_to_end(spark):
+    """One release per lifecycle state, and one per failing stage."""
+    at = dt.datetime(2026, 8, 4)
+    early = at - dt.timedelta(days=2)
+    normal = ["active", "revoked", "withdrawn", "superseded", "corrected", "expired"]
+    faults = ["missing-file", "extra-file", "unknown-key", "bad-signature", "bad-linkage", "gap", "link", "order", "rollback", "claims", "open-claims", "no-chain"]
+    names = [*normal, *faults]
+    releases = spark.createDataFrame(
+        [(n, "b", "lost" if n == "unknown-key" else "k", n != "bad-signature", n != "bad-linkage", early, at) for n in names],
+        "release_id string, bundle_digest string, key_id string, signature_valid boolean, linkage_valid boolean, valid_from timestamp, valid_until timestamp",
+    )
+    files = [(n, f"f{i}", "d", 1) for n in names for i in range(3)]
+    schema = "release_id string, path string, digest string, size long"
+    declared = spark.createDataFrame([f for f in files if f[:2] != ("extra-file", "f2")], schema)
+    actual = spark.createDataFrame([f for f in files if f[:2] != ("missing-file", "f2")] + [(n, "listing", "d", 1) for n in names], schema)
+    keys = spark.createDataFrame([("k", "release-signing", "active", early, at)], "key_id string, usage string, status string, valid_from timestamp, valid_until timestamp")
+
+    def entry(name, revision, state="active", key="active", previous=None, days=0, number=None):
+        replaced = state in ("superseded", "corrected")
+        return (
+            name, revision, number or revision, f"{name}{revision}", previous, early + dt.timedelta(hours=revision + days), key, key == "revoked", "b", state,
+            "next" if replaced else None, "nb" if replaced else None, "notice" if state == "withdrawn" else None, early,
+        )
+
+    rows = [entry(n, 1) for n in names if n != "no-chain"]
+    rows += [entry("revoked", 2, key="revoked", previous="revoked1")]
+    rows += [entry(n, 2, state=n, previous=f"{n}1") for n in normal[2:]]
+    rows += [entry("gap", 2, previous="gap1", number=3), entry("link", 2, previous="other"), entry("order", 2, previous="order1", days=-1)]
+    rows += [entry("rollback", 2, state="withdrawn", previous="rollback1"), entry("rollback", 3, previous="rollback2")]
+    chain = spark.createDataFrame(
+        rows, "release_id string, position int, revision int, status_set_digest string, previous_digest string, generated_at timestamp, key_status string,"
+        "compromise_indicator boolean, bundle_digest string, state string, replacement_release_id string, replacement_bundle_digest string, notice_digest string,"
+        "effective_at timestamp",
+    )
+    claims = spark.createDataFrame(
+        [(n, {"claims": "not-supported", "open-claims": "not-evaluated"}.get(n, "supported")) for n in names], "release_id string, result string"
+    )
+    got = {r.release_id: (r.overall, r.exit_class, r.reason) for r in R.verify_releases(releases, declared, actual, keys, chain, claims, F.lit(at), self_path="listing").collect()}
+    assert got == {
+        "active": (R.VERIFIED, 0, None), "revoked": ("revoked-key", 3, None), "withdrawn": ("withdrawn-release", 4, None),
+        "superseded": ("superseded-release", 4, None), "corrected": ("corrected-release", 4, None), "expired": ("expired-release", 4, None),
+        "missing-file": ("incomplete-bundle", 1, "path-missing"), "extra-file": ("incomplete-bundle", 1, "path-extra"),
+        "unknown-key": ("untrusted-key", 3, "key-unknown"), "bad-signature": ("invalid-signature", 1, "release-signature-invalid"),
+        "bad-linkage": ("invalid-report-linkage", 1, "static-report-linkage-invalid"), "gap": ("invalid-structure", 1, "status-chain-revision-sequence"),
+        "link": ("invalid-structure", 1, "status-chain-revision-binding"), "order": ("invalid-structure", 1, "status-chain-revision-order"),
+        "rollback": ("invalid-structure", 1, "status-chain-release-state-rollback"), "claims": ("claims-not-supported", 5, None),
+        "open-claims": ("not-evaluated", 5, None), "no-chain": ("invalid-structure", 1, "status-chain-missing"),
+    }
