@@ -280,8 +280,11 @@ _ARRAY = "array<struct<severity:string,code:string,field:string,message:string,s
 
 
 def _explode(df: DataFrame, arrays: list[Column], path: Column, key: Column, keep: Sequence[str]) -> DataFrame:
-    found = df.select(path.cast("string").alias("path"), key.cast("string").alias("key"), *keep, F.concat(*arrays).alias("__f"))
-    rows = found.where(F.size("__f") > 0).select("path", "key", *keep, F.explode("__f").alias("__f"))
+    # The generator takes the expression itself: over a named column Spark would also infer a filter
+    # on it, push that below, and evaluate every rule twice.
+    rows = df.select(
+        path.cast("string").alias("path"), key.cast("string").alias("key"), *keep, F.explode(F.concat(*arrays)).alias("__f")
+    )
     names = ("severity", "code", "field", "stage", "message")
     flat = rows.select("path", "key", *keep, *[F.col("__f")[n].alias(n) for n in names])
     return flat.select("severity", "code", "path", "message", "key", *keep, "field", "stage")

@@ -34,12 +34,20 @@ def set_digest(df: DataFrame, by: Sequence[str], member: Column, domain: str) ->
     before the shuffle, and a group of any size is four numbers. Its value differs from
     :func:`list_digest`, which digests the ordered list itself.
     """
-    hexed = F.sha2(member, 256)
-    limbs = [
-        F.sum(F.conv(F.substring("__h", 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")).alias(f"__s{i}") for i in range(4)
+    hexed = df.select(*by, F.sha2(member, 256).alias("__h"))
+    limbs = hexed.select(*by, *[F.conv(F.substring("__h", 1 + 15 * i, 15), 16, 10).cast("bigint").alias(f"__l{i}") for i in range(4)])
+    # Each limb is summed as three 20-bit parts: plain integer sums, safe for 2^43 members of a group.
+    parts = [
+        F.sum(F.shiftright(F.col(f"__l{i}"), 20 * j).bitwiseAND(0xFFFFF)).alias(f"__s{i}_{j}") for i in range(4) for j in range(3)
     ]
-    grouped = df.select(*by, hexed.alias("__h")).groupBy(*by).agg(F.count("__h").alias("members"), *limbs)
-    text = F.concat_ws(":", F.col("members").cast("string"), *[F.col(f"__s{i}").cast("string") for i in range(4)])
+    grouped = limbs.groupBy(*by).agg(F.count("__l0").alias("members"), *parts)
+
+    def limb_sum(i: int) -> Column:
+        low, middle, high = (F.col(f"__s{i}_{j}").cast("decimal(19,0)") for j in range(3))
+        weight = [F.lit(1 << (20 * j)).cast("decimal(13,0)") for j in range(3)]
+        return (high * weight[2] + middle * weight[1] + low).cast("decimal(38,0)").cast("string")
+
+    text = F.concat_ws(":", F.col("members").cast("string"), *[limb_sum(i) for i in range(4)])
     return grouped.select(*by, "members", domain_digest(domain, text).alias("digest"))
 
 
