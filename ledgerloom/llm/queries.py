@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate as op3
+from ledgerloom.llm import packing as op4
+from ledgerloom.llm import quality_rules as op7
 from ledgerloom.llm import token_counts as op5
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,9 +34,22 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4.pack_documents(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = op5.count_tokens(documents(spark, sf_dir), keep=["doc_id"])
     return counted.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_benchmark_decontamination, op5_token_counts)}
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = op7.measure(documents(spark, sf_dir), keep=["doc_id"])
+    return measured.select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_failed_lines", "n_kept_words",
+    )
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f for f in (op3_benchmark_decontamination, op4_best_fit_packing, op5_token_counts, op7_quality_rules)
+}
