@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate as op3
 from ledgerloom.llm import packing as op4
+from ledgerloom.llm import quality_model as op2
 from ledgerloom.llm import quality_rules as op7
 from ledgerloom.llm import token_counts as op5
+from ledgerloom.llm import toxicity as op1
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +26,24 @@ def remainder(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    lexicon = op1.fit(docs, labels(spark, sf_dir), remainder(4) != 2)
+    scored = op1.score_toxicity(docs, lexicon, keep=["doc_id"]).select("row.doc_id", "score", F.col("hits").cast("long").alias("n_hits"))
+    return scored.select("doc_id", (remainder(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_hits")
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = op2.fit(docs, labels(spark, sf_dir), remainder(5) != 0)
+    scored = op2.score_quality(docs, model, keep=["doc_id"]).select("row.doc_id", "score")
+    return scored.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op3.find_passages(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep=["doc_id"], width=10)
     names = F.array_distinct(F.transform("spans", lambda s: s["item_id"]))
@@ -51,5 +71,5 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_benchmark_decontamination, op4_best_fit_packing, op5_token_counts, op7_quality_rules)
+    f.__name__: f for f in (op1_toxicity, op2_quality_classifier, op3_benchmark_decontamination, op4_best_fit_packing, op5_token_counts, op7_quality_rules)
 }
