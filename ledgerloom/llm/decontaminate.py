@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -37,7 +37,7 @@ def item_windows(text: str | None, width: int) -> set[str]:
     return {" " + b" ".join(run).decode() + " " for run in runs}
 
 
-@cache
+@lru_cache(maxsize=4)
 def _automaton(items: Broadcast) -> tuple[ahocorasick.Automaton, list[tuple[int, list[str]]]]:
     """The automaton of a broadcast block of items, built once per Python worker."""
     width, rows = items.value

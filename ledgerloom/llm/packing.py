@@ -5,7 +5,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -119,7 +119,7 @@ def plan(counts: dict[int, int], capacity: int) -> np.ndarray:
     return np.array(sorted(rows), dtype=np.int64).reshape(-1, 5)
 
 
-@cache
+@lru_cache(maxsize=4)
 def _plan_keys(shipped: Broadcast) -> tuple[np.ndarray, np.ndarray]:
     rows = shipped.value
     return rows, rows[:, 0] * (1 << 48) + rows[:, 1]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate as op3
+from ledgerloom.llm import language as op10
 from ledgerloom.llm import packing as op4
 from ledgerloom.llm import quality_model as op2
 from ledgerloom.llm import quality_rules as op7
@@ -70,6 +71,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = op10.fit(docs, remainder(3) != 1)
+    named = op10.identify(docs, model, keep=["doc_id"]).select("row.doc_id", "lang_pred", "score")
+    return named.select("doc_id", (remainder(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_toxicity, op2_quality_classifier, op3_benchmark_decontamination, op4_best_fit_packing, op5_token_counts, op7_quality_rules)
+    f.__name__: f
+    for f in (op1_toxicity, op2_quality_classifier, op3_benchmark_decontamination, op4_best_fit_packing, op5_token_counts, op7_quality_rules, op10_language_id)
 }

@@ -6,7 +6,7 @@ import json
 import os
 import re
 from collections.abc import Callable, Iterator
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@cache
+@lru_cache(maxsize=4)
 def load(name: str):
     """The library's tokenizer, once per Python worker, on this task's core alone."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -39,7 +39,7 @@ def load(name: str):
     return Tokenizer.from_file(tokenizer_path(name))
 
 
-@cache
+@lru_cache(maxsize=4)
 def parts_at_spaces(name: str) -> bool:
     """Whether the tokenizer drops white space between pre-tokens, so that no token spans a space.
 

@@ -7,7 +7,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import cache
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -101,7 +101,7 @@ def _calibration_input(m: np.ndarray) -> np.ndarray:
     return np.column_stack([np.log1p(np.maximum(weight, 0)), np.log1p(np.maximum(density, 0)), np.log1p(hits), np.log1p(hits / np.maximum(words, 1) * 100), hits > 0])
 
 
-@cache
+@lru_cache(maxsize=4)
 def _matcher(shipped: Broadcast) -> Matcher:
     return Matcher(shipped.value)
 
