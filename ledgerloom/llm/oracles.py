@@ -81,5 +81,25 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        NOT base_failed AND 100 * n_kept_words >= 50 * n_words AS kept, CAST(n_lines AS BIGINT) AS n_lines,
        CAST(n_failed_lines AS BIGINT) AS n_failed_lines, CAST(n_kept_words AS BIGINT) AS n_kept_words
 FROM base
+""",
+    "op6_ngram_jaccard_join": f"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, {_SPACED_WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM doc WHERE len(w) > 0)
+), size AS (
+  SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), overlap AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), link AS (
+  SELECT x, y FROM overlap JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM doc UNION SELECT reach.doc_id, y FROM reach JOIN link ON x = r
+), degree AS (
+  SELECT x AS doc_id, count(*) AS n_links FROM link GROUP BY x
+)
+SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, CAST(coalesce(any_value(n_links), 0) AS BIGINT) AS n_links, min(r) AS component_id
+FROM reach LEFT JOIN size USING (doc_id) LEFT JOIN degree USING (doc_id) GROUP BY doc_id
 """,
 }

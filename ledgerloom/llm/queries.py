@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate as op3
+from ledgerloom.llm import jaccard as op6
 from ledgerloom.llm import language as op10
 from ledgerloom.llm import packing as op4
 from ledgerloom.llm import quality_model as op2
@@ -64,6 +65,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6.jaccard_groups(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = op7.measure(documents(spark, sf_dir), keep=["doc_id"])
     return measured.select(
@@ -80,5 +85,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_toxicity, op2_quality_classifier, op3_benchmark_decontamination, op4_best_fit_packing, op5_token_counts, op7_quality_rules, op10_language_id)
+    for f in (op1_toxicity, op2_quality_classifier, op3_benchmark_decontamination, op4_best_fit_packing, op5_token_counts, op6_ngram_jaccard_join, op7_quality_rules, op10_language_id)
 }
