@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import decontaminate as op3
 from ledgerloom.llm import jaccard as op6
 from ledgerloom.llm import language as op10
+from ledgerloom.llm import language_model as op9
 from ledgerloom.llm import packing as op4
 from ledgerloom.llm import quality_model as op2
 from ledgerloom.llm import quality_rules as op7
@@ -76,6 +77,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = op9.score_texts(documents(spark, sf_dir), remainder(5) != 1).withColumnRenamed("id", "doc_id")
+    return scored.withColumn("held_out", remainder(5) == 1)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = op10.fit(docs, remainder(3) != 1)
@@ -85,5 +91,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_toxicity, op2_quality_classifier, op3_benchmark_decontamination, op4_best_fit_packing, op5_token_counts, op6_ngram_jaccard_join, op7_quality_rules, op10_language_id)
+    for f in (op1_toxicity, op2_quality_classifier, op3_benchmark_decontamination, op4_best_fit_packing, op5_token_counts, op6_ngram_jaccard_join, op7_quality_rules, op9_lm_scoring, op10_language_id)
 }
