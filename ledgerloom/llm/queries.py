@@ -11,6 +11,7 @@ from ledgerloom.llm import decontaminate as op3
 from ledgerloom.llm import jaccard as op6
 from ledgerloom.llm import language as op10
 from ledgerloom.llm import language_model as op9
+from ledgerloom.llm import line_dedup as op8
 from ledgerloom.llm import packing as op4
 from ledgerloom.llm import quality_model as op2
 from ledgerloom.llm import quality_rules as op7
@@ -77,6 +78,18 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, and the numbers of those that repeat an earlier line of the corpus, equal ones and near ones."""
+    rows, repeats = op8.find_repeats(documents(spark, sf_dir))
+    per_doc = repeats.groupBy("id").agg(
+        F.array_sort(F.collect_list(F.when(F.col("exact"), F.col("line")))).alias("equal_lines"), F.array_sort(F.collect_list(F.when(~F.col("exact"), F.col("line")))).alias("near_lines"),
+    )
+    none = F.array().cast("array<bigint>")
+    return rows.join(per_doc, "id", "left").select(
+        F.col("id").alias("doc_id"), F.col("lines").alias("n_lines"), F.coalesce("equal_lines", none).alias("equal_lines"), F.coalesce("near_lines", none).alias("near_lines"),
+    )
+
+
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = op9.score_texts(documents(spark, sf_dir), remainder(5) != 1).withColumnRenamed("id", "doc_id")
     return scored.withColumn("held_out", remainder(5) == 1)
@@ -91,5 +104,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_toxicity, op2_quality_classifier, op3_benchmark_decontamination, op4_best_fit_packing, op5_token_counts, op6_ngram_jaccard_join, op7_quality_rules, op9_lm_scoring, op10_language_id)
+    for f in (op1_toxicity, op2_quality_classifier, op3_benchmark_decontamination, op4_best_fit_packing, op5_token_counts, op6_ngram_jaccard_join, op7_quality_rules, op8_line_dedup, op9_lm_scoring, op10_language_id)
 }
