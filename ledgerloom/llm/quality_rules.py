@@ -126,5 +126,7 @@ def measure(docs: DataFrame, *, text: str = "text", keep: list[str] | None = Non
 
 def clean(docs: DataFrame, *, text: str = "text", rules: Rules | None = None) -> DataFrame:
     """``docs`` without rejected documents, each text without its failing lines."""
-    kept = measure(docs, text=text, rules=rules).where("kept")
-    return kept.select(*[F.col("cleaned").alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns])
+    judged = measure(docs, text=text, rules=rules)
+    left = F.struct(*[F.col("cleaned").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    # Not a filter: pushed down, the verdict's expressions would be evaluated inside one another's lambdas.
+    return judged.select(F.explode(F.when(F.col("kept"), F.array(left))).alias("doc")).select("doc.*")
