@@ -19,12 +19,11 @@ from ledgerloom.functions.joins import lookup_join
 from ledgerloom.llm.components import components
 from ledgerloom.llm.messages import by_shard, pack_keys, pack_numbers, summed, unpack_keys, unpack_numbers
 from ledgerloom.llm.shared import partitions, written
+from ledgerloom.llm.tiles import deal
 from ledgerloom.llm.words import Words, mix, shingles, slices, split_words, text_bytes
 
 _U = np.uint64
 
-#: Rows of a family that a tile takes from each side, on average.
-TILE = 256
 #: Columns of a tile that are multiplied at once.
 _COLUMNS = 4096
 
@@ -224,12 +223,6 @@ def tile_links(ids: list, copies: np.ndarray, sets: list[np.ndarray], left: np.n
 
 def _tiles(members: DataFrame, percent: int) -> DataFrame:
     """``set_id, id, root, links`` per set and tile. ``members``: family, set_id, id, copies, body."""
-    spark = members.sparkSession
-    sizes = members.groupBy("family").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts"))
-    placed = lookup_join(members, sizes, ["family"]).withColumn("part", F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int"))
-    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other"))
-    together = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("family"), F.lit(16 * partitions(spark)))).otherwise(F.xxhash64("family", "low", "high"))
     kind = members.schema["id"].dataType.simpleString()
 
     def product(table: pa.Table) -> pa.Table:
@@ -250,7 +243,7 @@ def _tiles(members: DataFrame, percent: int) -> DataFrame:
             rows += [(set_id[at[k]].as_py(), ids[k], root, links) for k, root, links in found if links]
         return _table(rows, ["set_id", "id", "root", "links"], [pa.int64(), table.schema.field("id").type, table.schema.field("id").type, pa.int64()])
 
-    return dealt.select(together.alias("tile"), "family", "low", "high", "part", "set_id", "id", "copies", "body").groupBy("tile").applyInArrow(product, f"set_id long, id {kind}, root {kind}, links long")
+    return deal(members, "family", "set_id").groupBy("tile").applyInArrow(product, f"set_id long, id {kind}, root {kind}, links long")
 
 
 def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
