@@ -34,7 +34,7 @@ def q_parse_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind, props = F.col("event_type"), F.col("props")
     raw = (
         F.when(kind == "error", F.substring(props, F.lit(1), F.char_length(props) - 1))
-        .when(kind == "signup", F.concat(F.lit('{"k": 0, '), F.substring(props, 2, 1000)))
+        .when(kind == "signup", F.concat(F.lit('{"k": 0, '), F.substr(props, F.lit(2))))
         .otherwise(props)
     )
     events = table(spark, sf_dir, "events").withColumn("raw", raw)
@@ -78,7 +78,7 @@ def q_closed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members outside the closed set, and missing ones."""
     kind, props = F.col("event_type"), F.col("props")
     raw = (
-        F.when(kind == "purchase", F.concat(F.lit('{"debug": 1, '), F.substring(props, 2, 1000)))
+        F.when(kind == "purchase", F.concat(F.lit('{"debug": 1, '), F.substr(props, F.lit(2))))
         .when(kind == "view", F.lit("{}")).otherwise(props)
     )
     events = table(spark, sf_dir, "events").withColumn("raw", raw)
@@ -293,40 +293,74 @@ def q_unknown_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("key", "code", "field", "message")
 
 
+_DEEP_NAMES = ("l1", "l2", "l3", "l4", "l5", "l6", "l7", "l8")
+_DEEP_PATH = ".".join(("$", *_DEEP_NAMES, "Password"))
+
+
 def _nested_props(kind: Column, props: Column) -> Column:
+    deep = "".join(f'{{"{name}": ' for name in _DEEP_NAMES)[1:] + '{"Password": "deep"}' + "}" * (len(_DEEP_NAMES) - 1)
     nested = F.concat(
-        F.lit('{"who": {"Token": "t", "tags": ["a", {"b": "'), kind, F.lit('"}], "n": 1}, '), F.substring(props, 2, 1000)
+        F.lit('{"who": {"Token": "t", "tags": ["a", {"b": "'), kind, F.lit('"}], "n": 1}, ' + deep + ", "), F.substr(props, F.lit(2))
     )
     return F.when(kind.isin("purchase", "click"), nested).otherwise(props)
 
 
+def _nested_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """Events with a nested JSON text, and how deep the texts nest."""
+    events = table(spark, sf_dir, "events").withColumn("raw", _nested_props(F.col("event_type"), F.col("props")))
+    return events, L.deepest(events, "raw")
+
+
 @query(
-    """
+    f"""
     SELECT event_id, '$.who.Token' AS path, 'token' AS name FROM events WHERE event_type IN ('purchase', 'click')
     UNION ALL
     SELECT event_id, '$.who.tags[1].b', 'b' FROM events WHERE event_type IN ('purchase', 'click')
+    UNION ALL
+    SELECT event_id, '{_DEEP_PATH}', 'password' FROM events WHERE event_type IN ('purchase', 'click')
     """
 )
 def q_forbidden_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Member names on a deny list, at any depth of a JSON text."""
-    raw = _nested_props(F.col("event_type"), F.col("props"))
-    nodes = L.json_nodes(table(spark, sf_dir, "events").withColumn("raw", raw), ["event_id"], "raw")
-    return L.forbidden_members(nodes, ["event_id"], [*E.PROHIBITED_FIELDS, "b"])
+    events, depth = _nested_events(spark, sf_dir)
+    return L.forbidden_members(L.json_nodes(events, ["event_id"], "raw", depth), ["event_id"], [*E.PROHIBITED_FIELDS, "b"])
 
 
 @query(
     """
+    SELECT event_id, unnest(['token', 'b', 'password']) AS name FROM events WHERE event_type IN ('purchase', 'click')
+    """
+)
+def q_forbidden_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same names without their paths, from the text's strings alone."""
+    events = table(spark, sf_dir, "events").withColumn("raw", _nested_props(F.col("event_type"), F.col("props")))
+    return L.forbidden_names(events, ["event_id"], "raw", [*E.PROHIBITED_FIELDS, "b"])
+
+
+_LEAVES_SQL = f"""
     SELECT event_id, '$.who.Token' AS path, 't' AS value FROM events WHERE event_type IN ('purchase', 'click')
     UNION ALL
     SELECT event_id, '$.who.tags[0]', 'a' FROM events WHERE event_type IN ('purchase', 'click')
     UNION ALL
     SELECT event_id, '$.who.tags[1].b', event_type FROM events WHERE event_type IN ('purchase', 'click')
+    UNION ALL
+    SELECT event_id, '{_DEEP_PATH}', 'deep' FROM events WHERE event_type IN ('purchase', 'click')
     """
-)
+
+
+@query(_LEAVES_SQL)
 def q_json_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """String leaves of a free-form JSON text."""
-    raw = _nested_props(F.col("event_type"), F.col("props"))
-    return L.json_leaves(table(spark, sf_dir, "events").withColumn("raw", raw), ["event_id"], "raw")
+    events, depth = _nested_events(spark, sf_dir)
+    return L.json_leaves(events, ["event_id"], "raw", depth)
+
+
+@query(_LEAVES_SQL)
+def q_variant_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """String leaves of a VARIANT column."""
+    events, depth = _nested_events(spark, sf_dir)
+    leaves = L.flatten_leaves(events.select("event_id", F.parse_json("raw").alias("v")), ["event_id"], depth=depth)
+    return leaves.withColumn("path", F.regexp_replace("path", r"^\$\.v", r"\$"))
 
 
 @query(

@@ -50,31 +50,37 @@ def q_verify_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.verify_digest(orders, "stored", "order/v1", columns).select("o_orderkey", "expected")
 
 
+_LIMBS_SQL = ", ".join(f"sum(CAST('0x' || substr(h, {1 + 8 * i}, 8) AS BIGINT)::DECIMAL(38, 0)) AS s{i}" for i in range(8))
+_LIMBS_TEXT_SQL = " || ':' || ".join(f"s{i}" for i in range(8))
+
+
 @query(
     f"""
     WITH h AS (SELECT l_suppkey, sha256({_MEMBER_SQL}) AS h FROM lineitem),
-         s AS (SELECT l_suppkey, count(*) AS members,
-                      sum(CAST('0x' || substr(h, 1, 15) AS BIGINT)::DECIMAL(38, 0)) AS a, sum(CAST('0x' || substr(h, 16, 15) AS BIGINT)::DECIMAL(38, 0)) AS b,
-                      sum(CAST('0x' || substr(h, 31, 15) AS BIGINT)::DECIMAL(38, 0)) AS c, sum(CAST('0x' || substr(h, 46, 15) AS BIGINT)::DECIMAL(38, 0)) AS d
-               FROM h GROUP BY l_suppkey)
-    SELECT l_suppkey, members, 'sha256:' || sha256('line-set/v1' || chr(0) || members || ':' || a || ':' || b || ':' || c || ':' || d) AS digest FROM s
+         s AS (SELECT l_suppkey, count(*) AS members, {_LIMBS_SQL} FROM h GROUP BY l_suppkey)
+    SELECT l_suppkey, members, 'sha256:' || sha256('line-set/v1' || chr(0) || members || ':' || {_LIMBS_TEXT_SQL}) AS digest FROM s
     """
 )
 def q_set_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D3: one order-free digest per supplier's lines."""
+    """D3: one order-free fingerprint per supplier's lines."""
     member = F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", F.date_format("l_shipdate", "yyyy-MM-dd"))
     return D.set_digest(table(spark, sf_dir, "lineitem"), ["l_suppkey"], member, "line-set/v1")
 
 
+#: A third of all lines are one group.
+_GROUP_SQL = "CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE 's' || l_suppkey END"
+
+
 @query(
-    """
-    WITH m AS (SELECT l_orderkey, l_linenumber, '{"part":' || l_partkey || ',"supplier":' || l_suppkey || '}' AS m FROM lineitem)
-    SELECT l_orderkey, CASE WHEN count(*) <= 6 THEN count(*) END AS members, count(*) > 6 AS oversize,
-           CASE WHEN count(*) <= 6 THEN 'sha256:' || sha256('bundle/v1' || chr(0) || '[' || string_agg(m, ',' ORDER BY l_linenumber, m) || ']') END AS digest
-    FROM m GROUP BY l_orderkey
+    f"""
+    WITH m AS (SELECT {_GROUP_SQL} AS g, l_orderkey, l_linenumber, l_orderkey // 512 AS c, '{{"part":' || l_partkey || ',"supplier":' || l_suppkey || '}}' AS m FROM lineitem),
+         k AS (SELECT g, c, count(*) AS n, sha256('[' || string_agg(m, ',' ORDER BY l_orderkey, l_linenumber, m) || ']') AS d FROM m GROUP BY g, c)
+    SELECT g, CAST(sum(n) AS BIGINT) AS members, 'sha256:' || sha256('bundle/v1' || chr(0) || '[' || string_agg(d, ',' ORDER BY c) || ']') AS digest FROM k GROUP BY g
     """
 )
 def q_list_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D3: the ordered list of a bundle; a bundle over its file limit is refused."""
+    """D3: the ordered list of groups of any size, one of which holds a third of all lines."""
     member = F.to_json(F.struct(F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supplier")))
-    return D.list_digest(table(spark, sf_dir, "lineitem"), ["l_orderkey"], ["l_linenumber"], member, "bundle/v1", limit=6)
+    group = F.when(F.col("l_orderkey") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")))
+    lines = table(spark, sf_dir, "lineitem").withColumn("g", group)
+    return D.list_digest(lines, ["g"], ["l_orderkey", "l_linenumber"], member, "bundle/v1", F.expr("l_orderkey div 512"))

@@ -11,12 +11,17 @@ from ledgerloom.operators import text_scan as T
 from ledgerloom.sources.tables import read_for_scan
 
 
+def _partitions(spark: SparkSession) -> int:
+    """The driver's tables are single files, so their texts are dealt out."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return read_for_scan(spark, f"{sf_dir}/documents.parquet", ["doc_id", *columns], "doc_id")
+    return read_for_scan(spark, f"{sf_dir}/documents.parquet", ["doc_id", *columns], "doc_id", _partitions(spark))
 
 
 def _pages(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return read_for_scan(spark, f"{sf_dir}/pages.parquet", ["page_id", *columns], "page_id")
+    return read_for_scan(spark, f"{sf_dir}/pages.parquet", ["page_id", *columns], "page_id", _partitions(spark))
 
 
 # The SQL engine's regular expressions have no look-around, so its patterns name the neighbouring
@@ -38,7 +43,7 @@ _HOST_TEST = f"""(h IN ('localhost', 'instance-data', 'metadata.google.internal'
 def _hosts_sql(text: str) -> str:
     """Distinct host tokens of a text, lower-cased, without outer brackets and final dots."""
     tokens = rf"regexp_extract_all(trim({text}, '[](){{}}<>,.;''\" '), '\[?[0-9a-fA-F:.]+\]?|[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|localhost')"
-    return f"list_distinct(list_transform({tokens}, lambda t: lower(trim(t, '[]'))))"
+    return f"list_distinct(list_transform({tokens}, lambda t: rtrim(lower(trim(t, '[]')), '.')))"
 
 
 def _class_sql(text: str) -> str:

@@ -25,7 +25,7 @@ SECRETS = (
     (("-----",), rf"{I}-----BEGIN (?:[A-Z0-9 ]+ )?PRIVATE KEY-----"),
     (("_",), rf"(?<!{W})(?:gh[pousr]_[A-Za-z0-9]{{20,}}|github_pat_[A-Za-z0-9_]{{20,}})(?!{W})"),
     (("AKIA",), rf"(?<!{W})AKIA[0-9A-Z]{{16}}(?!{W})"),
-    ((), rf"[Bb](?<!{W}.)[Ee][Aa][Rr][Ee][Rr][{S}]+(?iu:[A-Za-z0-9._~+/=-]{{10,}}){B}"),
+    ((), rf"{I}(?<!{W})Bearer[{S}]+[A-Za-z0-9._~+/=-]{{10,}}{B}"),
     (("eyJ",), rf"(?<!{W})eyJ[A-Za-z0-9_-]{{4,}}\.[A-Za-z0-9_-]{{4,}}\.[A-Za-z0-9_-]{{4,}}{B}"),
     ((":", "="), rf"{I}(?<!{W})(?:password|passwd|secret|token|client_secret)[{S}]*[:=][{S}]*[^{S}]"),
     (("://",), rf"{I}[a-z][a-z0-9+.-]*://[^{S}/:@]+:[^{S}/@]+@"),

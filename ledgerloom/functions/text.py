@@ -46,32 +46,36 @@ def percent_decoded(text: Column) -> Column:
     return F.when(text.rlike("%[0-9A-Fa-f]{2}"), F.array_join(decoded, "")).otherwise(text)
 
 
-def _base64_body(text: Column) -> Column:
+#: Characters of a text that is tried as base64, at least and at most.
+BASE64_CHARACTERS = (8, 8192)
+
+
+def _base64_body(text: Column, characters: tuple[int, int] = BASE64_CHARACTERS) -> Column:
     """The value without outer white space when it is shaped like base64, else NULL."""
     shaped = text.rlike(rf"^[{P.S}]*[A-Za-z0-9+/]+={{0,2}}[{P.S}]*\z")
     compact = F.regexp_replace(F.when(shaped, text), rf"[{P.S}]+", "")
     size = F.char_length(compact)
-    return F.when(size.between(8, 8192) & (size % 4 == 0), compact)
+    return F.when(size.between(*characters) & (size % 4 == 0), compact)
 
 
-def base64_decoded(text: Column) -> Column:
-    """Decoded text of a whole-value base64 string (8 to 8192 characters), else NULL."""
-    plain = F.try_to_binary(_base64_body(text), F.lit("base64")).cast("string")
+def base64_decoded(text: Column, characters: tuple[int, int] = BASE64_CHARACTERS) -> Column:
+    """Decoded text of a whole-value base64 string of a length in ``characters``, else NULL."""
+    plain = F.try_to_binary(_base64_body(text, characters), F.lit("base64")).cast("string")
     return F.when(F.is_valid_utf8(plain), plain)
 
 
-def may_have_other_forms(text: Column, nfkc: Column) -> Column:
+def may_have_other_forms(text: Column, nfkc: Column, characters: tuple[int, int] = BASE64_CHARACTERS) -> Column:
     """False only when the raw form is the one form of the text."""
-    return nfkc.isNotNull() | text.rlike("%[0-9A-Fa-f]{2}") | _base64_body(text).isNotNull()
+    return nfkc.isNotNull() | text.rlike("%[0-9A-Fa-f]{2}") | _base64_body(text, characters).isNotNull()
 
 
-def decoded_forms(text: Column, nfkc: Column) -> Column:
+def decoded_forms(text: Column, nfkc: Column, characters: tuple[int, int] = BASE64_CHARACTERS) -> Column:
     """Raw, NFKC, percent-decoded and base64-decoded forms, in that order, without repeats.
 
     ``nfkc`` is a column already holding :func:`nfkc_changed` of the text.
     """
     percent = percent_decoded(text)
-    return F.array_distinct(F.array_compact(F.array(text, nfkc, percent, base64_decoded(text))))
+    return F.array_distinct(F.array_compact(F.array(text, nfkc, percent, base64_decoded(text, characters))))
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -173,13 +177,14 @@ def may_hold_flagged_host(text: Column) -> Column:
 
 
 def host_tokens(text: Column) -> Column:
-    """Distinct host-like tokens of a text, plus the host of a value that is one URL.
+    """Distinct host-like tokens of a text, in lower case and without final dots, plus the host of a value that is one URL.
 
     Empty without a pass over the tokens when the text cannot hold a flagged host.
     """
     stripped = F.btrim(text, F.lit(P.HOST_STRIP))
     tokens = F.transform(F.regexp_extract_all(stripped, F.lit(P.HOST_TOKEN), F.lit(0)), lambda t: F.btrim(t, F.lit("[]")))
-    all_hosts = F.array_distinct(F.array_compact(F.array_append(tokens, _url_host(stripped))))
+    plain = F.transform(F.array_compact(F.array_append(tokens, _url_host(stripped))), lambda t: F.rtrim(F.lower(t), F.lit(".")))
+    all_hosts = F.array_distinct(F.array_remove(plain, ""))
     return F.when(may_hold_flagged_host(text), all_hosts).otherwise(F.array().cast(_NO_TEXTS))
 
 

@@ -15,27 +15,38 @@ def _none(kind: str = _LEAVES) -> Column:
     return F.array().cast(kind)
 
 
-def leaf_array(value: Column, data_type: T.DataType, path: Column) -> Column:
-    """Array of (path, value) for every string leaf of a typed value, in one expression."""
+def leaf_array(value: Column, data_type: T.DataType, path: Column, depth: int | None = None) -> Column:
+    """Array of (path, value) for every string leaf of a typed value, in one expression.
+
+    A VARIANT is walked ``depth`` levels deep, as deep as the values nest; without a depth it is an error, not an empty result.
+    """
+    if isinstance(data_type, T.VariantType):
+        if depth is None:
+            raise ValueError("a VARIANT value needs the depth of its nesting (see json_depth)")
+        levels = [F.array(F.struct(path.alias("path"), F.lit(None).cast("string").alias("name"), value.alias("v")))]
+        for _ in range(depth):
+            levels.append(F.flatten(F.transform(levels[-1], _children)))
+        texts = F.filter(F.concat(*levels), lambda n: F.schema_of_variant(n["v"]) == "STRING")
+        return F.coalesce(F.transform(texts, lambda n: F.struct(n["path"].alias("path"), n["v"].cast("string").alias("value"))), _none())
     if isinstance(data_type, T.StringType):
         leaf = F.struct(path.alias("path"), value.alias("value"))
         return F.when(value.isNotNull(), F.array(leaf)).otherwise(_none())
     if isinstance(data_type, T.StructType):
         parts = [
-            leaf_array(value[f.name], f.dataType, F.concat(path, F.lit(f".{f.name}")))
+            leaf_array(value[f.name], f.dataType, F.concat(path, F.lit(f".{f.name}")), depth)
             for f in data_type.fields if _holds_text(f.dataType)
         ]
         return F.concat(*parts) if parts else _none()
     if isinstance(data_type, T.ArrayType) and _holds_text(data_type.elementType):
         nested = F.transform(
             value,
-            lambda item, i: leaf_array(item, data_type.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))),
+            lambda item, i: leaf_array(item, data_type.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), depth),
         )
         return F.coalesce(F.flatten(nested), _none())
     if isinstance(data_type, T.MapType) and _holds_text(data_type.valueType):
         nested = F.transform(
             F.map_entries(value),
-            lambda e: leaf_array(e["value"], data_type.valueType, F.concat(path, F.lit("."), e["key"])),
+            lambda e: leaf_array(e["value"], data_type.valueType, F.concat(path, F.lit("."), e["key"]), depth),
         )
         return F.coalesce(F.flatten(nested), _none())
     return _none()
@@ -48,14 +59,17 @@ def _holds_text(data_type: T.DataType) -> bool:
         return _holds_text(data_type.elementType)
     if isinstance(data_type, T.MapType):
         return _holds_text(data_type.valueType)
-    return isinstance(data_type, T.StringType)
+    return isinstance(data_type, (T.StringType, T.VariantType))
 
 
-def flatten_leaves(df: DataFrame, id_columns: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
-    """(id, path, value) of every string leaf of the other columns, whatever their nesting."""
+def flatten_leaves(df: DataFrame, id_columns: Sequence[str], columns: Sequence[str] | None = None, depth: int | None = None) -> DataFrame:
+    """(id, path, value) of every string leaf of the other columns, whatever their nesting.
+
+    ``depth`` is how deep VARIANT values nest; only they need it.
+    """
     names = list(columns) if columns else [c for c in df.columns if c not in id_columns]
     parts = [
-        leaf_array(F.col(n), df.schema[n].dataType, F.lit(f"$.{n}")) for n in names if _holds_text(df.schema[n].dataType)
+        leaf_array(F.col(n), df.schema[n].dataType, F.lit(f"$.{n}"), depth) for n in names if _holds_text(df.schema[n].dataType)
     ]
     leaves = df.select(*id_columns, F.explode(F.concat(*parts)).alias("__leaf"))
     return leaves.select(*id_columns, F.col("__leaf.path").alias("path"), F.col("__leaf.value").alias("value"))
@@ -82,10 +96,30 @@ def _children(node: Column) -> Column:
 _NODES = "array<struct<path:string,name:string,v:variant>>"
 
 
-def json_nodes(df: DataFrame, id_columns: Sequence[str], raw: str, depth: int = 4) -> DataFrame:
+_STRING = r'"(?:[^"\\]|\\.)*"'
+
+
+def json_depth(raw: Column) -> Column:
+    """How deep the objects and arrays of a JSON text nest; 0 for a scalar. Brackets inside strings do not count."""
+    brackets = F.regexp_replace(F.regexp_replace(raw, _STRING, ""), r"[^\[\]{}]", "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(acc: Column, c: Column) -> Column:
+        now = acc["now"] + F.when(c.isin("[", "{"), 1).when(c.isin("]", "}"), -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
+
+    return F.coalesce(F.aggregate(F.split(brackets, ""), start, step, lambda acc: acc["most"]), F.lit(0))
+
+
+def deepest(df: DataFrame, raw: str) -> int:
+    """The greatest ``json_depth`` of a column: one aggregate over it, for the caller of ``json_nodes``."""
+    return df.agg(F.max(json_depth(F.col(raw)))).first()[0] or 0
+
+
+def json_nodes(df: DataFrame, id_columns: Sequence[str], raw: str, depth: int) -> DataFrame:
     """(id, path, name, kind, value) of every member and item of a free-form JSON column.
 
-    ``kind`` is ``string``, ``scalar``, ``inner`` (an opened object or array) or ``container``: one
+    ``depth`` is how deep the input nests (``deepest``); a smaller one leaves closed containers. ``kind`` is ``string``, ``scalar``, ``inner`` (an opened object or array) or ``container``: one
     still closed at ``depth`` levels, kept as a node with its JSON text as value, so that no text
     is lost. ``name`` is the member name, NULL for an array item. One scan and one generator; rows
     that do not parse give no node.
@@ -94,14 +128,14 @@ def json_nodes(df: DataFrame, id_columns: Sequence[str], raw: str, depth: int =
         F.lit("$").alias("path"), F.lit(None).cast("string").alias("name"), F.try_parse_json(F.col(raw)).alias("v")
     )
     levels = df.select(*id_columns, F.array(root).alias("__l0"))
-    for level in range(1, depth + 1):
+    for level in range(1, max(1, depth) + 1):
         opened = F.flatten(F.transform(F.col(f"__l{level - 1}"), _children))
         levels = levels.select("*", opened.alias(f"__l{level}"))
 
     def tagged(level: int) -> Column:
-        return F.transform(F.col(f"__l{level}"), lambda n: F.struct(n.alias("n"), F.lit(level == depth).alias("last")))
+        return F.transform(F.col(f"__l{level}"), lambda n: F.struct(n.alias("n"), F.lit(level == max(1, depth)).alias("last")))
 
-    nodes = levels.select(*id_columns, F.explode(F.concat(*map(tagged, range(1, depth + 1)))).alias("e"))
+    nodes = levels.select(*id_columns, F.explode(F.concat(*map(tagged, range(1, max(1, depth) + 1)))).alias("e"))
     kind = F.schema_of_variant(F.col("e.n.v"))
     label = (
         F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.when(F.col("e.last"), "container").otherwise("inner"))
@@ -113,7 +147,7 @@ def json_nodes(df: DataFrame, id_columns: Sequence[str], raw: str, depth: int =
     )
 
 
-def json_leaves(df: DataFrame, id_columns: Sequence[str], raw: str, depth: int = 4) -> DataFrame:
+def json_leaves(df: DataFrame, id_columns: Sequence[str], raw: str, depth: int) -> DataFrame:
     """(id, path, value) of the string leaves of a free-form JSON column."""
     nodes = json_nodes(df, id_columns, raw, depth)
     return nodes.where(F.col("kind").isin("string", "container")).select(*id_columns, "path", "value")
@@ -124,6 +158,19 @@ def forbidden_members(nodes: DataFrame, id_columns: Sequence[str], names: Sequen
     return nodes.where(F.lower("name").isin(list(names))).select(*id_columns, "path", F.lower("name").alias("name"))
 
 
+def forbidden_names(df: DataFrame, id_columns: Sequence[str], raw: str, names: Sequence[str]) -> DataFrame:
+    """(id, name) of members on the deny list at any depth of a JSON text, without a walk and without paths.
+
+    Every string is cut out with the colon that may follow it; those with one are names. Escapes inside a name are read.
+    """
+    strings = F.regexp_extract_all(F.col(raw), F.lit(_STRING + r"(?:\s*:)?"), F.lit(0))
+    quoted = F.transform(F.filter(strings, lambda s: s.endswith(":")), lambda s: F.regexp_replace(s, r"\s*:\z", ""))
+    plain = F.transform(quoted, lambda s: F.when(s.contains("\\"), F.get(F.from_json(F.concat(F.lit("["), s, F.lit("]")), "array<string>"), F.lit(0))).otherwise(F.btrim(s, F.lit('"'))))
+    found = F.array_distinct(F.filter(F.transform(plain, lambda n: F.lower(n)), lambda n: n.isin(list(names))))
+    valid = F.when(F.try_parse_json(F.col(raw)).isNotNull(), found)
+    return df.select(*id_columns, F.explode(valid).alias("name"))
+
+
 def forbidden_columns(df: DataFrame, id_columns: Sequence[str], names: Sequence[str]) -> DataFrame:
     """(id, path, name) of typed columns or struct fields on the deny list that hold a value."""
     found: list[Column] = []

@@ -184,9 +184,12 @@ def lane_coverage(entries: DataFrame, requirements: DataFrame, lanes: Sequence[s
 
 
 def warning_policy(
-    claims: DataFrame, package: Sequence[str], blocking: Sequence[str], visible: Sequence[str]
+    claims: DataFrame, package: Sequence[str], blocking: Sequence[str], visible: Sequence[str], package_codes: DataFrame | None = None
 ) -> DataFrame:
-    """One native state per package from its claims' warnings, against a closed code list.
+    """One native state per package from its own and its claims' warnings, against a closed code list.
+
+    ``package_codes`` has the package columns and ``warning_codes``, what a package itself reports; a package without a
+    claim is never ``satisfied``.
 
     ``claims`` has the package columns, ``warning_codes``, ``missing_lanes``, ``missing_kinds`` and
     ``status``. An unknown code is ``error`` before anything else; anything missing or a blocking
@@ -194,12 +197,18 @@ def warning_policy(
     ``satisfied`` and anything else ``error``.
     """
     known = [*blocking, *visible]
+    claims = claims.select(*package, "warning_codes", "missing_lanes", "missing_kinds", "status", F.lit(True).alias("__claim"))
+    if package_codes is not None:
+        none = F.array().cast("array<string>")
+        claims = claims.unionByName(package_codes.select(
+            *package, "warning_codes", none.alias("missing_lanes"), none.alias("missing_kinds"), F.lit(None).cast("string").alias("status"), F.lit(False).alias("__claim"),
+        ))
     unknown = F.size(F.array_except("warning_codes", F.array(*[F.lit(c) for c in known]))) > 0
     flags = [F.bool_or(F.array_contains("warning_codes", c)).alias(f"__w{i}") for i, c in enumerate(known)]
     grouped = claims.groupBy(*package).agg(
         F.bool_or(unknown).alias("unknown"),
         F.bool_or((F.size("missing_lanes") > 0) | (F.size("missing_kinds") > 0)).alias("missing"),
-        F.bool_and(F.coalesce(F.col("status") == "satisfied", F.lit(False))).alias("all_satisfied"), *flags,
+        (F.bool_or("__claim") & F.bool_and(~F.col("__claim") | F.coalesce(F.col("status") == "satisfied", F.lit(False)))).alias("all_satisfied"), *flags,
     )
     codes = F.array_sort(F.array_compact(F.array(*[F.when(F.col(f"__w{i}"), F.lit(c)) for i, c in enumerate(known)])))
     blocks = F.lit(False)

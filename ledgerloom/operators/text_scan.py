@@ -13,14 +13,18 @@ from ledgerloom.functions import text as X
 from ledgerloom.operators.findings import as_findings
 
 
-def decode_forms(df: DataFrame, text: str) -> DataFrame:
-    """Adds ``forms``: the raw, NFKC, percent-decoded and base64-decoded forms without repeats."""
+def decode_forms(df: DataFrame, text: str, base64_characters: tuple[int, int] = X.BASE64_CHARACTERS) -> DataFrame:
+    """Adds ``forms``: the raw, NFKC, percent-decoded and base64-decoded forms without repeats.
+
+    Only texts of a length in ``base64_characters`` are tried as base64.
+    """
     prepared = df.withColumn("__nfkc", X.nfkc_changed(F.col(text)))
-    return prepared.withColumn("forms", X.decoded_forms(F.col(text), F.col("__nfkc"))).drop("__nfkc")
+    return prepared.withColumn("forms", X.decoded_forms(F.col(text), F.col("__nfkc"), base64_characters)).drop("__nfkc")
 
 
 def classify_sensitive(
-    df: DataFrame, text: str, *, output: str = "sensitive_class", private_names: Sequence[str] = ()
+    df: DataFrame, text: str, *, output: str = "sensitive_class", private_names: Sequence[str] = (),
+    base64_characters: tuple[int, int] = X.BASE64_CHARACTERS,
 ) -> DataFrame:
     """Adds the first sensitive class of a value over its decoded forms, NULL when there is none.
 
@@ -29,8 +33,8 @@ def classify_sensitive(
     """
     raw = F.col(text)
     prepared = df.withColumn("__nfkc", X.nfkc_changed(raw))
-    others = F.slice(X.decoded_forms(raw, F.col("__nfkc")), 2, 3)
-    prepared = prepared.withColumn("__others", F.when(X.may_have_other_forms(raw, F.col("__nfkc")), others))
+    others = F.slice(X.decoded_forms(raw, F.col("__nfkc"), base64_characters), 2, 3)
+    prepared = prepared.withColumn("__others", F.when(X.may_have_other_forms(raw, F.col("__nfkc"), base64_characters), others))
     first = X.sensitive_class_of_form(raw, private_names)
     classes = F.filter(
         F.transform("__others", lambda form: X.sensitive_class_of_form(form, private_names)), lambda c: c.isNotNull()
@@ -42,9 +46,13 @@ def classify_sensitive(
 
 
 def nonpublic_hosts(df: DataFrame, id_columns: Sequence[str], text: str) -> DataFrame:
-    """(id, host): the distinct non-public hosts named in each text."""
+    """(id, host): the distinct non-public hosts named in each text, in lower case, without final dots.
+
+    A name whose first label is all hexadecimal digits is cut as an address, as the class scan cuts it: ``db.internal`` is
+    not seen, and ``foo.lan`` is seen as ``oo.lan``.
+    """
     hosts = df.select(*id_columns, F.explode(X.host_tokens(F.col(text))).alias("host"))
-    return hosts.where(X.is_nonpublic_host(F.col("host"))).select(*id_columns, F.lower("host").alias("host"))
+    return hosts.where(X.is_nonpublic_host(F.col("host")))
 
 
 def scan_strings(

@@ -15,7 +15,7 @@ from ledgerloom.operators import references as R
 from ledgerloom.operators.findings import as_findings, union_findings
 from ledgerloom.operators.history import invalid_steps, unordered_times
 from ledgerloom.operators.rollup import EVIDENCE_STATUSES
-from ledgerloom.sources.records import read_records
+from ledgerloom.sources.records import MAX_RECORD_BYTES, read_records
 
 # Record vocabularies, id patterns, member names and state transitions.
 LIFECYCLE_TRANSITIONS = {
@@ -36,44 +36,47 @@ ID_PATTERNS = {
 }
 MEMBERS = {
     "claim": (
-        "schema_version record_type id statement subject scope status assumptions evidence limitations valid_from"
-        " valid_until status_reason supersedes owner reviewers"
+        "schema_version", "record_type", "id", "statement", "subject", "scope", "status", "assumptions", "evidence",
+        "limitations", "valid_from", "valid_until", "status_reason", "supersedes", "owner", "reviewers",
+    ),
+    "assumption": (
+        "schema_version", "record_type", "id", "statement", "scope", "status", "rationale", "owner", "reviewed_at",
+        "next_review_at", "sources",
     ),
-    "assumption": "schema_version record_type id statement scope status rationale owner reviewed_at next_review_at sources",
     "evidence": (
-        "schema_version record_type id type status lifecycle lifecycle_history subject input_digests output_digest"
-        " producer tool started_at completed_at execution configuration model_check summary private_source_metadata"
-        " public_artifacts limitations"
+        "schema_version", "record_type", "id", "type", "status", "lifecycle", "lifecycle_history", "subject", "input_digests",
+        "output_digest", "producer", "tool", "started_at", "completed_at", "execution", "configuration", "model_check",
+        "summary", "private_source_metadata", "public_artifacts", "limitations",
     ),
     "evidence-manifest": (
-        "schema_version record_type id release subject digests protocol conformance toolchain claims"
-        " assumptions evidence limitations approvals publication generated_at supersedes"
+        "schema_version", "record_type", "id", "release", "subject", "digests", "protocol", "conformance", "toolchain",
+        "claims", "assumptions", "evidence", "limitations", "approvals", "publication", "generated_at", "supersedes",
     ),
     "known-limitation": (
-        "schema_version record_type id statement affected_claims severity status owner identified_at reviewed_at"
-        " next_review_at mitigation references"
+        "schema_version", "record_type", "id", "statement", "affected_claims", "severity", "status", "owner", "identified_at",
+        "reviewed_at", "next_review_at", "mitigation", "references",
     ),
     "assurance-notice": (
-        "schema_version record_type id notice_type affected_report affected_claims reason impact replacement issued_at"
-        " approver public_notice"
+        "schema_version", "record_type", "id", "notice_type", "affected_report", "affected_claims", "reason", "impact",
+        "replacement", "issued_at", "approver", "public_notice",
     ),
 }
+# Member -> (record types that have it, its own members).
 NESTED_MEMBERS = {
-    "subject": ("claim evidence evidence-manifest", "type identifier version digest"),
-    "producer": ("evidence", "type identity"),
-    "tool": ("evidence", "name version source"),
-    "execution": ("evidence", "ran required reason"),
-    "private_source_metadata": ("evidence", "revision_digest source_class reproducibility publication_review_digest"),
-    "model_check": ("evidence", "properties state_space_bounds explored_state_space"),
-    "release": ("evidence-manifest", "identifier version channel"),
-    "protocol": ("evidence-manifest", "identifier version digest"),
-    "conformance": ("evidence-manifest", "identifier version digest"),
-    "publication": ("evidence-manifest", "status publicly_reproducible reason signature"),
-    "digests": (
-        "evidence-manifest",
-        "source_revision build_artifact claim_set assumption_set evidence_set evidence_record_digests"
-        " evidence_output_digests limitation_set",
-    ),
+    "subject": (("claim", "evidence", "evidence-manifest"), ("type", "identifier", "version", "digest")),
+    "producer": (("evidence",), ("type", "identity")),
+    "tool": (("evidence",), ("name", "version", "source")),
+    "execution": (("evidence",), ("ran", "required", "reason")),
+    "private_source_metadata": (("evidence",), ("revision_digest", "source_class", "reproducibility", "publication_review_digest")),
+    "model_check": (("evidence",), ("properties", "state_space_bounds", "explored_state_space")),
+    "release": (("evidence-manifest",), ("identifier", "version", "channel")),
+    "protocol": (("evidence-manifest",), ("identifier", "version", "digest")),
+    "conformance": (("evidence-manifest",), ("identifier", "version", "digest")),
+    "publication": (("evidence-manifest",), ("status", "publicly_reproducible", "reason", "signature")),
+    "digests": (("evidence-manifest",), (
+            "source_revision", "build_artifact", "claim_set", "assumption_set", "evidence_set", "evidence_record_digests",
+            "evidence_output_digests", "limitation_set",
+        )),
 }
 CLAIM_STATUSES = ("draft", "supported", "supported-with-assumptions", "not-supported", "expired", "withdrawn")
 EVIDENCE_TYPES = (
@@ -163,13 +166,13 @@ def _rule(name: str, bad: Column, message: str) -> C.Rule:
 
 def _common(record_type: str, extra: Sequence[str] = ()) -> list[C.Rule]:
     rules = [
-        *C.closed_fields("raw", [*MEMBERS[record_type].split(), *extra], exact=True),
+        *C.closed_fields("raw", [*MEMBERS[record_type], *extra], exact=True),
         C.one_of("schema_version", ["0.1"]), C.matches("id", ID_PATTERNS[record_type]),
     ]
     for name, (types, members) in NESTED_MEMBERS.items():
-        if record_type in types.split():
+        if record_type in types:
             inner = F.get_json_object("raw", f"$.{name}")
-            rules += C.closed_fields(F.when(inner.startswith("{"), inner), members.split(), exact=True)
+            rules += C.closed_fields(F.when(inner.startswith("{"), inner), list(members), exact=True)
     return rules
 
 
@@ -371,9 +374,11 @@ def reference_findings(records: DataFrame) -> DataFrame:
     return union_findings(duplicate, missing, inactive, sets)
 
 
-def validate_corpus(spark: SparkSession, root: str, manifest_members: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """(records, findings) of a directory of record files."""
-    read, broken = read_records(spark, root, RECORD_SCHEMA)
+def validate_corpus(
+    spark: SparkSession, root: str, manifest_members: Sequence[str] = (), *, max_bytes: int = MAX_RECORD_BYTES
+) -> tuple[DataFrame, DataFrame]:
+    """(records, findings) of a directory of record files; a file over ``max_bytes`` is a finding."""
+    read, broken = read_records(spark, root, RECORD_SCHEMA, max_bytes=max_bytes)
     shaped = F.col("raw").rlike(r"^\s*\{")
     records = read.where(shaped).select("path", "raw", "record.*")
     shapeless = as_findings(read.where(~shaped), "record-shape", F.col("path"), "record must be a JSON object", F.col("path"))

@@ -7,13 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_for_scan(spark: SparkSession, path: str, columns: Sequence[str], key: str) -> DataFrame:
-    """Columns of a Parquet table, spread over all cores when it has fewer splits than cores.
+def read_for_scan(spark: SparkSession, path: str, columns: Sequence[str], key: str, partitions: int | None = None) -> DataFrame:
+    """Columns of a Parquet table; with ``partitions``, dealt into so many by its key.
 
-    A text scan costs far more than moving the text once, so a table of a few large splits is
-    redistributed by its key. A table with at least as many splits as cores is read as it is,
-    without a shuffle; that is every large table. Only split metadata is looked at.
+    A text scan costs far more than moving the text once, so a table of few, large splits is worth dealing out; whether it is
+    that, the caller says. Without a number the table is read as it is.
     """
     df = spark.read.parquet(path).select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df if partitions is None else df.repartition(partitions, key)

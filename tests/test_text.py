@@ -147,7 +147,7 @@ def test_private_text_and_prohibited_claims(spark):
 
 def test_json_leaves_keep_deep_text(spark):
     df = spark.createDataFrame([(1, '{"a": {"b": [{"c": "x"}, "y"]}, "n": 1, "s": "z"}'), (2, "not json")], "id int, raw string")
-    got = {(r.id, r.path, r.value) for r in L.json_leaves(df, ["id"], "raw").collect()}
+    got = {(r.id, r.path, r.value) for r in L.json_leaves(df, ["id"], "raw", L.deepest(df, "raw")).collect()}
     assert got == {(1, "$.a.b[0].c", "x"), (1, "$.a.b[1]", "y"), (1, "$.s", "z")}
     shallow = {(r.path, r.value) for r in L.json_leaves(df, ["id"], "raw", depth=1).collect()}
     assert shallow == {("$.a", '{"b":[{"c":"x"},"y"]}'), ("$.s", "z")}
