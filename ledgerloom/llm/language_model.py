@@ -173,7 +173,8 @@ def score_texts(docs: DataFrame, train: Column, *, id_col: str = "doc_id", text:
     that training texts have. Null is empty: the end alone. Rows with equal or null ids are scored each; with no training rows
     every token has probability 1. Words are told apart by 64-bit hashes, bigrams too.
     """
-    blocks = shards = 2 * partitions(docs.sparkSession)
+    shards = partitions(docs.sparkSession)
+    blocks = 2 * shards
     kind = docs.schema[id_col].dataType.simpleString()
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     texts = docs.select(
