@@ -13,7 +13,7 @@ from ledgerloom.llm.shared import cut
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges of a task's rows, fewer, that connect the same nodes: each node with the smallest of its tree."""
+    """Edges of a task's rows, one per node, that connect the same nodes: each node with the smallest of its tree."""
     up: dict = {}
 
     def root(x: object) -> object:
@@ -30,7 +30,6 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if a != b:
                 up[max(a, b)] = min(a, b)
     pairs = [(x, root(x)) for x in list(up)]
-    pairs = [p for p in pairs if p[0] != p[1]]
     if kind is not None:
         yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], kind.field(k).type) for k in (0, 1)], schema=kind)
 
@@ -45,12 +44,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Self-loops count as nodes; repeated edges, either direction and no edges are allowed; edges with a null end are not
     edges. Each round is a grouped minimum, joined back so that a node with very many edges is split over tasks;
-    rounds end when nothing changes, after about the logarithm of the longest path. Rounds are checkpointed.
+    rounds end when nothing changes, after about the logarithm of the longest path. The edges, each round and
+    the result are checkpointed: whatever makes the edges runs once.
     """
-    start = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
+    start = edges.select(F.col(a).alias("a"), F.col(b).alias("b"))
+    start = cut(start.where("a is not null and b is not null").mapInArrow(_forest, start.schema).distinct())
     nodes = start.select("a").union(start.select("b")).distinct()
-    kind = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).schema
-    now = cut(start.where("a <> b").mapInArrow(_forest, kind).distinct())
+    now = start.where("a <> b")
     last = None
     while True:
         both = now.union(now.select("b", "a"))
@@ -63,4 +63,4 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if state == last:
             break
         last = state
-    return nodes.withColumnRenamed("a", "node").join(now.withColumnRenamed("a", "node"), "node", "left").select("node", F.coalesce("b", "node").alias("component"))
+    return cut(nodes.withColumnRenamed("a", "node").join(now.withColumnRenamed("a", "node"), "node", "left").select("node", F.coalesce("b", "node").alias("component")))
