@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driver_queries.registry import query, table
+from ledgerloom.functions import text as X
 from ledgerloom.operators import contracts as C
 from ledgerloom.operators.findings import first_failure
 from ledgerloom.plans import export as E
@@ -21,10 +22,18 @@ def _review(scope: str, status: Column, role: Column, subject: Column, **extra:
     )
 
 
+def _subject() -> Column:
+    """The digest of a candidate's material, recomputed from the order itself."""
+    return E.review_subject({"order": F.col("o_orderkey").cast("string"), "owner": F.col("o_custkey").cast("string")})
+
+
+_SUBJECT_SQL = """'sha256:' || sha256('review-subject/v1' || chr(0) || '{"order":"' || o_orderkey || '","owner":"' || o_custkey || '"}')"""
+
+
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as export candidates: every fault comes from a property of the order."""
     status, priority, price = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_totalprice")
-    subject = F.concat(F.lit("subject-"), F.col("o_orderkey").cast("string"))
+    subject = _subject()
     human = F.lit("authorized-human")
     approved = F.lit("approved")
     reviews = F.struct(
@@ -68,17 +77,19 @@ def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     code = F.upper(F.hex(F.col("o_orderkey")))
     return table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.concat(F.lit("PM-EXPORT-CANDIDATE-"), F.lpad(code, 32, "0")).alias("candidate_id"),
+        F.concat(F.lit("PM-EXPORT-CANDIDATE-"), F.lpad(code, 32, "0")).alias("candidate_id"),
         F.when(price > 250000, "pass").otherwise("fail").alias("status"), F.when(price > 260000, "pass").otherwise("fail").alias("original_status"),
         lifecycle.alias("lifecycle"), lifecycle.alias("original_lifecycle"), history.alias("lifecycle_history"), event.alias("event"),
         reviews.alias("reviews"), F.struct(*[(price.between(60000, 61000 + 1000 * i)).alias(n) for i, n in enumerate(_FLAGS)]).alias("sensitivity"),
-        subject.alias("review_subject_digest"), F.array("o_orderstatus", "o_orderpriority").alias("public_artifacts"),
-        omissions.alias("omissions"), "o_custkey",
-    )
+        F.array("o_orderstatus", "o_orderpriority").alias("public_artifacts"),
+        omissions.alias("omissions"), "o_custkey", F.concat(F.lit('{"owner": '), F.col("o_custkey").cast("string"), F.lit("}")).alias("raw"),
+        F.when(price.between(110000, 111000), "see /home/ops/run.log").otherwise(F.concat(F.lit("order of priority "), priority)).alias("note"),
+        F.when(price.between(112000, 113000), F.lit(None)).otherwise(F.col("o_orderkey")).alias("bound_record"), "o_orderkey",
+    ).withColumn("raw", F.when(F.col("note").startswith("see"), F.col("raw")).when(F.col("o_custkey") % 97 == 0, F.lit('{"owner": 1, "email": "x"}')).otherwise(F.col("raw")))
 
 
 def _review_rules() -> list[C.Rule]:
-    return E.review_rules(E.CANDIDATE_MODE, flags=_FLAGS, subject=F.col("review_subject_digest"))
+    return E.review_rules(E.CANDIDATE_MODE, flags=_FLAGS, subject=_subject())
 
 
 _REVIEW_SQL = """
@@ -192,16 +203,29 @@ def q_derive_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _staged_rules() -> list[C.Rule]:
+    """Every stage of an export, each rule with the checks that it carries out."""
+    key, mode = F.col("o_orderkey"), F.lit(E.CANDIDATE_MODE)
     return [
-        *E.at_stage("lifecycle", E.lifecycle_rules(F.col("lifecycle"), F.col("original_lifecycle"))),
-        *E.at_stage("candidate-id", [C.matches_by("candidate_id", F.lit(E.CANDIDATE_MODE), E.CANDIDATE_IDS, code="candidate-id")]),
-        *E.at_stage("reviews", _review_rules()),
+        *E.at_stage("lifecycle", E.lifecycle_rules(F.col("lifecycle"), F.col("original_lifecycle")), ["lifecycle-limit"]),
+        *E.at_stage("candidate-id", [C.matches_by("candidate_id", mode, E.CANDIDATE_IDS, code="candidate-id")], ["candidate-schema"]),
+        *E.at_stage("schema", C.require("o_orderkey", "status", "lifecycle"), ["evidence-schema", "strict-input-parse"]),
+        *E.at_stage("schema", [C.one_of("status", ["pass", "fail"])], ["closed-configuration", "review-status-parity"]),
+        *E.at_stage("schema", [C.text_length("raw", 2, 200)], ["input-size"]),
+        *E.at_stage("allowlist", C.closed_fields("raw", ["owner"], code="allowlist"), ["allowlist", "prohibited-field-scan"]),
+        *E.at_stage("evidence", C.array_shape("public_artifacts", at_most=8, code="evidence"), ["path-boundary", "exporter-implementation-manifest"]),
+        *E.at_stage("bindings", [C.Rule("digest-binding", "bound_record", ~F.col("bound_record").eqNullSafe(key), "record is not the one that is bound")], ["digest-bindings", "export-profile-binding"]),
+        *E.at_stage("values", [C.Rule("sensitive-value", "note", X.sensitive_class_of_form(F.col("note")).isNotNull(), "prohibited public value")], ["prohibited-value-scan"]),
+        *E.at_stage("reviews", _review_rules(), ["review-gates", "review-subject-binding"]),
+        *E.at_stage("mode", E.fixture_review_rules(E.CANDIDATE_MODE), ["trusted-execution-mode"]),
     ]
 
 
 _FAILURES_SQL = f"""
     SELECT o_orderkey, 1 AS stage, CASE WHEN o_orderpriority <> '5-LOW' THEN 'lifecycle-not-validated' ELSE 'lifecycle-limit' END AS code,
            'evidence.lifecycle' AS field FROM orders WHERE o_orderstatus = 'P' OR o_orderpriority = '5-LOW'
+    UNION ALL SELECT o_orderkey, 4, 'allowlist', '$' FROM orders WHERE o_custkey % 97 = 0 AND o_totalprice NOT BETWEEN 110000 AND 111000
+    UNION ALL SELECT o_orderkey, 6, 'digest-binding', 'bound_record' FROM orders WHERE o_totalprice BETWEEN 112000 AND 113000
+    UNION ALL SELECT o_orderkey, 7, 'sensitive-value', 'note' FROM orders WHERE o_totalprice BETWEEN 110000 AND 111000
     UNION ALL SELECT o_orderkey, 8, code, field FROM ({_REVIEW_SQL})
 """
 
@@ -218,6 +242,22 @@ def q_first_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_failure(found, ["o_orderkey"], "stage", ["code", "field"])
 
 
+_STEP_SQL = "'{{\"state\":\"{0}\",\"recorded_at\":\"{1}\",\"review_digest\":{2}}}'"
+_HISTORY_SQL = "'[' || " + " || ',' || ".join((
+    _STEP_SQL.format("collected", "2026-01-01T00:00:00Z", "null"), _STEP_SQL.format("validated", "2026-01-02T00:00:00Z", '"first"'),
+    _STEP_SQL.format("sanitized", "2026-01-03T00:00:00Z", '"event"'),
+)) + " || ']'"
+_ASKED_SQL = """CASE WHEN o_orderpriority = '1-URGENT'
+  THEN '[{"path":"$.evidence_record.public_artifacts","rule_id":"OMIT-PUBLIC-ARTIFACTS","human_review_digest":"h"}]' ELSE '[]' END"""
+_LOG_SQL = """CASE WHEN o_orderpriority = '1-URGENT' THEN '[{"path":"$.evidence_record.public_artifacts","rule_id":"OMIT-PUBLIC-ARTIFACTS",'
+  || '"category":"optional-public-reference","action":"omitted-by-profile","human_review_digest":"h"}]' ELSE '[]' END"""
+_CHECKS_SQL = "[" + ",".join(f'"{c}"' for c in sorted((*E.COMMON_CHECKS, *E.INTERFACE_CHECKS["staged-file"]))) + "]"
+
+
+def _digest_sql(domain: str, text: str) -> str:
+    return f"'sha256:' || sha256('{domain}' || chr(0) || {text})"
+
+
 @query(
     f"""
     WITH f AS (
@@ -225,27 +265,49 @@ def q_first_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
       UNION ALL SELECT o_orderkey, 10, 'omission-rule', 'omissions' FROM orders WHERE o_orderpriority = '2-HIGH'
       UNION ALL SELECT o_orderkey, 11, 'promotion', 'lifecycle' FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority = '4-NOT SPECIFIED'
       UNION ALL SELECT o_orderkey, 11, 'status-preservation', 'status' FROM orders WHERE o_totalprice > 250000 AND o_totalprice <= 260000),
-    e AS (SELECT o_orderkey, stage, code, field FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY stage, code, field) AS n FROM f) WHERE n = 1)
-    SELECT o_orderkey, e.stage, e.code, e.field,
-           CASE WHEN e.stage IS NULL THEN 'candidate' END AS publication, CASE WHEN e.stage IS NULL THEN {len(E.COMMON_CHECKS) + 3} END AS checks,
-           CASE WHEN e.stage IS NULL THEN CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END END AS omitted,
-           CASE WHEN e.stage IS NULL THEN CASE WHEN o_orderstatus = 'F' THEN 'validated' ELSE 'sanitized' END || '>sanitized' END AS lifecycle,
-           CASE WHEN e.stage IS NULL THEN 'privacy:approved,security-boundary:approved,ip:not-applicable,vulnerability:'
-             || CASE WHEN o_totalprice BETWEEN 30000 AND 60000 THEN 'not-applicable' ELSE 'approved' END END AS reviews
-    FROM orders LEFT JOIN e USING (o_orderkey)
+    e AS (SELECT o_orderkey, stage, code, field FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY stage, code, field) AS n FROM f) WHERE n = 1),
+    c AS (
+      SELECT o_orderkey, e.stage, e.code, e.field, o_orderpriority = '1-URGENT' AS omitted, CASE WHEN o_totalprice > 250000 THEN 'pass' ELSE 'fail' END AS status,
+             CASE WHEN o_orderstatus = 'F' THEN 'validated' ELSE 'sanitized' END AS lifecycle, {_SUBJECT_SQL} AS subject,
+             CASE WHEN o_totalprice BETWEEN 30000 AND 60000 THEN 'not-applicable' ELSE 'approved' END AS vulnerability,
+             {_ASKED_SQL} AS asked, {_LOG_SQL} AS log, '["' || o_orderpriority || '","' || o_orderstatus || '"]' AS artifacts, o_custkey,
+             'PM-EXPORT-CANDIDATE-' || lpad(upper(to_hex(o_orderkey)), 32, '0') AS candidate_id
+      FROM orders LEFT JOIN e USING (o_orderkey)),
+    d AS (
+      SELECT *, {_digest_sql('export-candidate/v1', """'{"candidate_id":"' || candidate_id || '","o_custkey":"' || o_custkey || '","omissions":' || asked
+               || ',"public_artifacts":' || artifacts || ',"status":"' || status || '"}'""")} AS candidate_digest,
+             {_digest_sql('exported-evidence/v1', f"""'{{"artifacts":' || CASE WHEN omitted THEN '[]' ELSE artifacts END || ',"history":' || {_HISTORY_SQL}
+               || ',"id":"' || o_orderkey || '","lifecycle":"sanitized","status":"' || status || '"}}'""")} AS evidence_digest,
+             '{{"outcome":"exported","checks_executed":{_CHECKS_SQL},"input_status":"' || status || '","output_status":"' || status || '","input_lifecycle":"'
+               || lifecycle || '","output_lifecycle":"sanitized"}}' AS report,
+             '[' || array_to_string(list_transform(['privacy', 'security-boundary', 'ip', 'vulnerability'], lambda s: '{{"scope":"' || s || '","status":"'
+               || CASE s WHEN 'ip' THEN 'not-applicable' WHEN 'vulnerability' THEN vulnerability ELSE 'approved' END || '","reviewer_role":"authorized-human","review_digest":"digest-'
+               || s || '","reviewed_subject_digest":"' || subject || '"}}'), ',') || ']' AS reviews
+      FROM c)
+    SELECT o_orderkey, stage, code, field, CASE WHEN stage IS NULL THEN 'candidate' END AS publication, CASE WHEN stage IS NULL THEN report END AS report,
+           CASE WHEN stage IS NULL THEN candidate_digest END AS candidate_digest, CASE WHEN stage IS NULL THEN evidence_digest END AS evidence_digest,
+           CASE WHEN stage IS NULL THEN {_digest_sql('export-bundle/v1', """'{"candidate":"' || candidate_digest || '","evidence":"' || evidence_digest || '","id":"' || o_orderkey
+             || '","omissions":' || log || ',"report":' || report || ',"reviews":' || reviews || '}'""")} END AS bundle_digest
+    FROM d
     """
 )
 def q_export_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bundles of the accepted candidates and the failing stage of the others."""
-    bundles, rejected = E.export_bundle(
+    """The bundle of every accepted candidate, with its digests and the checks that ran, or the failing stage."""
+    exported = E.export_bundle(
         _candidates(spark, sf_dir), _staged_rules(), key="o_orderkey", mode=E.CANDIDATE_MODE, interface="staged-file",
         digest_columns=["candidate_id", "status", "o_custkey"],
     )
-    scopes = F.transform("review_provenance", lambda r: F.concat(r["scope"], F.lit(":"), r["status"]))
-    none = F.lit(None).cast("string")
-    accepted = bundles.select(
-        "o_orderkey", F.lit(None).cast("int").alias("stage"), none.alias("code"), none.alias("field"), F.col("publication.status").alias("publication"),
-        F.size("report.checks_executed").alias("checks"), F.size("omissions").alias("omitted"),
-        F.concat("report.input_lifecycle", F.lit(">"), "report.output_lifecycle").alias("lifecycle"), F.array_join(scopes, ",").alias("reviews"),
+    return exported.select(
+        "o_orderkey", "failure.stage", "failure.code", "failure.field", F.col("bundle.publication.status").alias("publication"), F.to_json("bundle.report").alias("report"),
+        "bundle.candidate_digest", "bundle.evidence_digest", "bundle.bundle_digest",
     )
-    return accepted.unionByName(rejected, allowMissingColumns=True)
+
+
+@query("SELECT o_orderkey, 12 AS stage, 'sanitization-checks' AS code FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '3-MEDIUM'")
+def q_export_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates that pass every rule are rejected all the same when a required check did not run."""
+    rules = [rule for rule in _staged_rules() if rule.stage == E.STAGE["candidate-id"]]
+    candidates = _candidates(spark, sf_dir).withColumn("original_status", F.col("status"))
+    plain = candidates.where((F.col("lifecycle") == "validated") & (F.element_at("public_artifacts", 2) == "3-MEDIUM"))
+    exported = E.export_bundle(plain, rules, key="o_orderkey", mode=E.CANDIDATE_MODE, interface="staged-file", digest_columns=["candidate_id"])
+    return exported.select("o_orderkey", "failure.stage", "failure.code")

@@ -28,6 +28,8 @@ class Rule:
     messages: Column | None = None
     severity: str = "error"
     stage: int = 0
+    #: Names of the checks that this rule carries out, for a report of what ran.
+    checks: tuple[str, ...] = ()
 
     def when(self, applies: Column) -> Rule:
         """The same rule, silent on rows where ``applies`` is not true."""
@@ -288,9 +290,3 @@ def _explode(df: DataFrame, arrays: list[Column], path: Column, key: Column, kee
     names = ("severity", "code", "field", "stage", "message")
     flat = rows.select("path", "key", *keep, *[F.col("__f")[n].alias(n) for n in names])
     return flat.select("severity", "code", "path", "message", "key", *keep, "field", "stage")
-
-
-def known_type(df: DataFrame, column: str, registry: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split rows into those whose type is registered and those whose type is not."""
-    types = registry.select(F.col(registry.columns[0]).alias(column)).distinct()
-    return df.join(types, column, "left_semi"), df.join(types, column, "left_anti")

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.digest import normalize_omissions, normalize_set, row_digest
 from ledgerloom.operators import contracts as C
-from ledgerloom.operators.findings import first_failure
 
 # Modes, review slots and their scopes, roles, states, checks and omission rules.
 CANDIDATE_MODE = "export-candidate"
@@ -57,7 +56,7 @@ OMISSION_RULES = (
 # Stages, in the order in which an export fails.
 STAGES = (
     "lifecycle", "candidate-id", "schema", "allowlist", "evidence", "bindings", "values", "reviews", "mode", "omissions",
-    "promotion",
+    "promotion", "report",
 )
 STAGE = {name: i for i, name in enumerate(STAGES, start=1)}
 
@@ -69,9 +68,23 @@ def required_checks(mode: Column, interface: Column) -> Column:
     return C.expected_checks(COMMON_CHECKS, INTERFACE_CHECKS, MODE_CHECKS, interface, mode)
 
 
-def at_stage(stage: str, rules: Sequence[C.Rule]) -> list[C.Rule]:
-    """The rules, marked with their stage."""
-    return [replace(rule, stage=STAGE[stage]) for rule in rules]
+def at_stage(stage: str, rules: Sequence[C.Rule], checks: Sequence[str] = ()) -> list[C.Rule]:
+    """The rules, marked with their stage and with the checks that they carry out."""
+    return [replace(rule, stage=STAGE[stage], checks=(*rule.checks, *checks)) for rule in rules]
+
+
+def review_subject(columns: Sequence[str] | Mapping[str, Column]) -> Column:
+    """The digest that reviews must bind: over all candidate material except the reviews themselves."""
+    return row_digest(columns, "review-subject/v1")
+
+
+def fixture_review_rules(mode: str, *, reviews: str = "reviews") -> list[C.Rule]:
+    """Outside the fixture mode no review may come from the fixture mode's reviewer."""
+    role = REVIEWER_ROLE[FIXTURE_MODE]
+    return [] if mode == FIXTURE_MODE else [
+        C.Rule("fixture-review", f"{reviews}.{slot}.reviewer_role", F.col(f"{reviews}.{slot}.reviewer_role").eqNullSafe(F.lit(role)), "review is a fixture")
+        for slot in REVIEW_SCOPES
+    ]
 
 
 def review_rules(
@@ -197,22 +210,26 @@ def apply_omissions(
     return out
 
 
-def gate_candidates(candidates: DataFrame, rules: Sequence[C.Rule], key: str) -> tuple[DataFrame, DataFrame]:
-    """(findings, first failure per candidate) of staged rules over candidates."""
-    findings = C.check(candidates, rules, path=F.col(key), key=F.col(key))
-    return findings, first_failure(findings, ["key"], "stage", ["code", "field"])
+def earliest_failure(rules: Sequence[C.Rule]) -> Column:
+    """(stage, code, field) of the first failing rule of a row, NULL if none fails; no shuffle."""
+    failures = []
+    for rule in rules:
+        bad = F.coalesce(F.size(rule.messages) > 0 if rule.messages is not None else rule.bad, F.lit(False))
+        failures.append(F.when(bad, F.struct(F.lit(rule.stage).alias("stage"), F.lit(rule.code).alias("code"), F.lit(rule.field).alias("field"))))
+    return F.get(F.array_sort(F.array_compact(F.array(*failures))), F.lit(0))
 
 
 def export_bundle(
     candidates: DataFrame, rules: Sequence[C.Rule], *, key: str, mode: str, interface: str, digest_columns: Sequence[str],
     artifacts: str = "public_artifacts", omissions: str = "omissions",
-) -> tuple[DataFrame, DataFrame]:
-    """(bundles, rejected) of a candidates table with flat evidence columns.
+) -> DataFrame:
+    """One row per candidate: ``failure`` (stage, code, field) or a bundle; one pass over the candidates.
 
     Columns used: ``status``, ``lifecycle``, ``lifecycle_history``, ``event``, ``original_status``,
-    ``original_lifecycle``, ``reviews`` and the named ones. A candidate whose earliest failing stage
-    exists is rejected with that stage; every other one becomes a bundle with its sanitisation
-    report, review provenance, publication state (never published) and digests.
+    ``original_lifecycle``, ``reviews`` and the named ones. A candidate with a failing rule has its earliest failure and a
+    NULL ``bundle``; every other one has a bundle with its sanitisation report, review provenance, publication state (never
+    published) and digests. The report lists the checks that the given rules name, and those of the export's own
+    rules; if they are not the ones that mode and interface require, every candidate fails.
     """
     asked = F.col(omissions)
     before = candidates.withColumn("candidate_digest", row_digest(
@@ -220,22 +237,15 @@ def export_bundle(
          omissions: normalize_omissions(asked)}, "export-candidate/v1"))
     done = promote(before, lifecycle="lifecycle", history="lifecycle_history", event="event")
     done = apply_omissions(done, requested=omissions, fields={r["path"]: artifacts for r in OMISSION_RULES})
-    late = [
+    own = [
         *at_stage("omissions", [C.Rule("omission-rule", omissions, F.col("omission_error").isNotNull(), "omission is not permitted")]),
-        *at_stage("promotion", [
-            C.Rule("promotion", "lifecycle", F.col("promotion_error").isNotNull(), F.col("promotion_error")),
-            C.Rule("status-preservation", "status", ~F.col("status").eqNullSafe(F.col("original_status")), "status changed"),
-        ]),
+        *at_stage("promotion", [C.Rule("promotion", "lifecycle", F.col("promotion_error").isNotNull(), F.col("promotion_error"))], ["lifecycle-limit"]),
+        *at_stage("promotion", [C.Rule("status-preservation", "status", ~F.col("status").eqNullSafe(F.col("original_status")), "status changed")], ["status-preservation"]),
     ]
-    staged = [*rules, *late]
-    earliest = None
-    for rule in staged:
-        bad = F.coalesce(F.size(rule.messages) > 0 if rule.messages is not None else rule.bad, F.lit(False))
-        failure = F.when(bad, F.struct(F.lit(rule.stage).alias("stage"), F.lit(rule.code).alias("code"), F.lit(rule.field).alias("field")))
-        earliest = [failure] if earliest is None else [*earliest, failure]
-    failures = F.array_sort(F.array_compact(F.array(*earliest)))
-    judged = done.withColumn("failure", F.get(failures, F.lit(0)))
-    rejected = judged.where(F.col("failure").isNotNull()).select(key, "failure.stage", "failure.code", "failure.field")
+    staged = [*rules, *own]
+    ran = F.array(*[F.lit(c) for c in sorted({c for rule in staged for c in rule.checks})])
+    staged += at_stage("report", [C.reported_checks(ran, required_checks(F.lit(mode), F.lit(interface)))])
+    judged = done.withColumn("failure", earliest_failure(staged))
     provenance = F.array(*[
         F.struct(
             F.lit(scope).alias("scope"),
@@ -243,23 +253,25 @@ def export_bundle(
         )
         for slot, scope in REVIEW_SCOPES.items()
     ])
-    accepted = judged.where(F.col("failure").isNull())
     exported = row_digest(
         {"id": F.col(key).cast("string"), "status": F.col("status"), "lifecycle": F.col("lifecycle"),
          "history": F.col("lifecycle_history"), "artifacts": normalize_set(F.col(artifacts))}, "exported-evidence/v1",
     )
-    bundles = accepted.select(
-        key, F.lit(ARTIFACT_STATUS[mode]).alias("artifact_status"), "candidate_digest", exported.alias("evidence_digest"),
-        F.struct(
-            F.lit("exported").alias("outcome"), required_checks(F.lit(mode), F.lit(interface)).alias("checks_executed"),
-            F.col("original_status").alias("input_status"), F.col("status").alias("output_status"),
-            F.col("original_lifecycle").alias("input_lifecycle"), F.col("lifecycle").alias("output_lifecycle"),
-        ).alias("report"),
-        F.col("omission_log").alias("omissions"), provenance.alias("review_provenance"),
-        F.lit(FINAL_APPROVAL[mode]).alias("final_publication_approval"),
-        F.struct(F.lit(PUBLICATION[mode]).alias("status"), F.lit(False).alias("automation_permitted")).alias("publication"),
+    report = F.struct(
+        F.lit("exported").alias("outcome"), ran.alias("checks_executed"),
+        F.col("original_status").alias("input_status"), F.col("status").alias("output_status"),
+        F.col("original_lifecycle").alias("input_lifecycle"), F.col("lifecycle").alias("output_lifecycle"),
     )
-    sealed = bundles.withColumn("bundle_digest", row_digest(
+    parts = judged.select(
+        key, "failure", "candidate_digest", exported.alias("evidence_digest"), report.alias("report"), F.col("omission_log").alias("omissions"),
+        provenance.alias("review_provenance"),
+    )
+    sealed = row_digest(
         {"id": F.col(key).cast("string"), "candidate": F.col("candidate_digest"), "evidence": F.col("evidence_digest"),
-         "report": F.col("report"), "omissions": F.col("omissions"), "reviews": F.col("review_provenance")}, "export-bundle/v1"))
-    return sealed, rejected
+         "report": F.col("report"), "omissions": F.col("omissions"), "reviews": F.col("review_provenance")}, "export-bundle/v1")
+    bundle = F.struct(
+        F.lit(ARTIFACT_STATUS[mode]).alias("artifact_status"), "candidate_digest", "evidence_digest", sealed.alias("bundle_digest"), "report", "omissions",
+        "review_provenance", F.lit(FINAL_APPROVAL[mode]).alias("final_publication_approval"),
+        F.struct(F.lit(PUBLICATION[mode]).alias("status"), F.lit(False).alias("automation_permitted")).alias("publication"),
+    )
+    return parts.select(key, "failure", F.when(F.col("failure").isNull(), bundle).alias("bundle"))
