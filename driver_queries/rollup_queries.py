@@ -210,8 +210,8 @@ def q_lane_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _WARNINGS_SQL = _LANES_SQL + """,
     k AS (
-      SELECT o_custkey, o_orderpriority, bool_or(o_orderpriority = '2-HIGH' AND len(observed_lanes) = 0) AS unknown, bool_or(len(missing_lanes) > 0) AS missing,
-             bool_and(status = 'satisfied') AS fine, bool_or(list_contains(warning_codes, 'all-evidence-derived-from-source')) AS a,
+      SELECT o_custkey, o_orderpriority, bool_or(o_orderpriority = '2-HIGH' AND len(observed_lanes) = 0) OR o_custkey % 11 = 0 AS unknown, bool_or(len(missing_lanes) > 0) AS missing,
+             bool_and(status = 'satisfied') AS fine, bool_or(list_contains(warning_codes, 'all-evidence-derived-from-source')) OR o_custkey % 11 = 1 AS a,
              bool_or(list_contains(warning_codes, 'insufficient-independent-lanes')) AS b,
              bool_or(list_contains(warning_codes, 'missing-spec-derived-evidence')) AS c,
              bool_or(list_contains(warning_codes, 'same-generator-lineage')) AS d
@@ -227,12 +227,14 @@ _PACKAGE = ["o_custkey", "o_orderpriority"]
 
 
 def _native(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A customer's orders of one priority are a package; an order without any observed lane may name an unknown code."""
+    """A customer's orders of one priority are a package; orders without any observed lane and packages may name an unknown code."""
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("claim_id"), *_PACKAGE)
     claims = _lanes(spark, sf_dir).join(orders, "claim_id")
     stray = (F.col("o_orderpriority") == "2-HIGH") & (F.size("observed_lanes") == 0)
     codes = F.when(stray, F.array_append("warning_codes", F.lit("unreviewed-warning"))).otherwise(F.col("warning_codes"))
-    return A.warning_policy(claims.withColumn("warning_codes", codes), _PACKAGE, P.BLOCKING_WARNINGS, P.VISIBLE_WARNINGS)
+    own = F.when(F.col("o_custkey") % 11 == 0, F.array(F.lit("unreviewed-package"))).when(F.col("o_custkey") % 11 == 1, F.array(F.lit("all-evidence-derived-from-source")))
+    packages = orders.select(*_PACKAGE).distinct().select(*_PACKAGE, F.coalesce(own, F.array().cast("array<string>")).alias("warning_codes"))
+    return A.warning_policy(claims.withColumn("warning_codes", codes), _PACKAGE, P.BLOCKING_WARNINGS, P.VISIBLE_WARNINGS, packages)
 
 
 @query(

@@ -30,6 +30,14 @@ def default_chunk(df: DataFrame, order: str) -> Column:
     raise ValueError(f"order column {order!r} of type {kind.simpleString()} needs an explicit chunk")
 
 
+def prefix_chunk(df: DataFrame, order: Sequence[str], exact: int = 1) -> Column:
+    """A chunk for an order whose first ``exact`` columns have few values, or one: these as they are, then the next one's chunk.
+
+    It never decreases along the order, and splits a key whose rows agree in the first columns.
+    """
+    return F.struct(*order[:exact], default_chunk(df, order[exact]).alias("block"))
+
+
 def with_history(
     df: DataFrame,
     keys: Sequence[str],

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.ordered import with_history
+from ledgerloom.functions.ordered import prefix_chunk, with_history
 from ledgerloom.operators import history as H
 
 STATES = {"collected": ["validated", "withdrawn"], "validated": ["sanitized", "withdrawn"], "sanitized": ["published"], "published": []}
@@ -53,6 +53,18 @@ def test_a_hot_key_is_spread_over_tasks(spark):
     assert tasks > 4
 
 
+def test_a_hot_key_whose_first_order_column_is_constant_is_spread(spark):
+    rows = [("hot", 1, i << 14, "x" if i % 3 else "y") for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, first int, pos long, s string")
+    out = with_history(df, ["k"], ["first", "pos"], lag={"before": F.col("s")}, position="n", chunk=prefix_chunk(df, ["first", "pos"]))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert out.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {(r.pos, r.before, r.n) for r in out.collect()} == {(p, rows[i - 1][3] if i else None, i + 1) for i, (_, _, p, _) in enumerate(rows)}
+
+
 def test_default_chunk_needs_a_number_or_a_time(spark):
     df = spark.createDataFrame([("a", "x")], "k string, o string")
     with pytest.raises(ValueError):

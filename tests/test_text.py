@@ -145,6 +145,23 @@ def test_private_text_and_prohibited_claims(spark):
     assert got == {t for t, hit in claims if hit}
 
 
+def test_forbidden_names_at_any_depth(spark):
+    deep = '{"a":{"b":{"c":{"d":{"e":[{"Pass\\u0077ord":"p"}]}}}}}'
+    rows = [(1, deep), (2, '{"x": "\\"token\\": 1", "y": ["token", ":"]}'), (3, '{"token" : 1, "z": {"token": 2}}'), (4, '{"token": '), (5, None)]
+    df = spark.createDataFrame(rows, "id int, raw string")
+    assert {(r.id, r.name) for r in L.forbidden_names(df, ["id"], "raw", ["token", "password"]).collect()} == {(1, "password"), (3, "token")}
+    assert [r.d for r in df.orderBy("id").select(L.json_depth(F.col("raw")).alias("d")).collect()][:3] == [7, 2, 2]
+    variants = df.where("id = 1").select("id", F.parse_json("raw").alias("v"))
+    assert [r.path for r in L.flatten_leaves(variants, ["id"], depth=7).collect()] == ["$.v.a.b.c.d.e[0].Password"]
+    with pytest.raises(ValueError):
+        L.flatten_leaves(variants, ["id"])
+
+
+def test_nonpublic_hosts_are_distinct(spark):
+    df = spark.createDataFrame([(1, "see xyz.lan XYZ.LAN and 10.0.0.1 or 10.0.0.1. then")], "id int, t string")
+    assert sorted(r.host for r in T.nonpublic_hosts(df, ["id"], "t").collect()) == ["10.0.0.1", "xyz.lan"]
+
+
 def test_json_leaves_keep_deep_text(spark):
     df = spark.createDataFrame([(1, '{"a": {"b": [{"c": "x"}, "y"]}, "n": 1, "s": "z"}'), (2, "not json")], "id int, raw string")
     got = {(r.id, r.path, r.value) for r in L.json_leaves(df, ["id"], "raw", L.deepest(df, "raw")).collect()}

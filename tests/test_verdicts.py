@@ -89,6 +89,9 @@ def test_warning_policy_fails_closed(spark):
     )
     got = {r.p: r.native_state for r in A.warning_policy(claims, ["p"], ["bad"], ["seen"]).collect()}
     assert got == {"unknown": "error", "blocked": "blocked", "missing": "blocked", "warned": "warning", "fine": "satisfied", "odd": "error"}
+    own = spark.createDataFrame([("fine", ["new-code"]), ("warned", ["bad"]), ("odd", []), ("alone", [])], "p string, warning_codes array<string>")
+    got = {r.p: r.native_state for r in A.warning_policy(claims, ["p"], ["bad"], ["seen"], own).collect()}
+    assert got == {"unknown": "error", "blocked": "blocked", "missing": "blocked", "warned": "blocked", "fine": "error", "odd": "error", "alone": "error"}
     codes = lambda *values: spark.createDataFrame([(v,) for v in values], "code string")
     assert A.policy_closed(codes("bad"), codes("seen"), codes("bad", "seen")).collect() == []
     assert {r.reason for r in A.policy_closed(codes("bad", "seen"), codes("seen", "x"), codes("bad", "seen", "y")).collect()} == {
