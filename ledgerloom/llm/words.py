@@ -96,7 +96,7 @@ def split_words(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE)
     return Words(data, start, end, doc, first)
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in consecutive pieces of about ``most`` text bytes; a longer text is a piece of its own."""
     if not batch.num_rows:
         return
