@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driver_queries.registry import query, table
-from ledgerloom.functions.digest import normalize_set, row_digest
+from ledgerloom.functions.digest import content_digest, normalize_mixed, normalize_omissions, normalize_set, row_digest
 from ledgerloom.operators import digests as D
 
 _ROW_SQL = """'{{"o_custkey":' || o_custkey || ',"o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%d') || '","o_orderkey":' || o_orderkey
@@ -84,3 +84,41 @@ def q_list_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     group = F.when(F.col("l_orderkey") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")))
     lines = table(spark, sf_dir, "lineitem").withColumn("g", group)
     return D.list_digest(lines, ["g"], ["l_orderkey", "l_linenumber"], member, "bundle/v1", F.expr("l_orderkey div 512"))
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey % 7 = 0 OR c_custkey % 11 = 0")
+def q_verify_key_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys whose id is not the digest of their bytes, or whose bytes do not decode."""
+    name = F.encode("c_name", "UTF-8")
+    key_id = F.when(F.col("c_custkey") % 7 == 0, F.lit("sha256:00")).otherwise(content_digest(name))
+    encoded = F.when(F.col("c_custkey") % 11 == 0, F.lit("not base64!")).otherwise(F.base64(name))
+    keys = table(spark, sf_dir, "customer").select("c_custkey", key_id.alias("key_id"), encoded.alias("encoded"))
+    return D.verify_key_ids(keys, "key_id", "encoded").select("c_custkey")
+
+
+@query(
+    """
+    SELECT o_orderkey, 'false,true,' || array_to_string(list_sort([CAST(o_custkey AS VARCHAR), CAST(o_orderkey AS VARCHAR)]), ',') || ','
+           || array_to_string(list_sort([o_orderpriority, o_orderstatus]), ',') AS ordered FROM orders
+    """
+)
+def q_normalize_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A set of mixed scalars in order of kind and text."""
+    text = F.to_json(F.array(F.col("o_orderstatus"), F.col("o_orderpriority")))
+    raw = F.concat(F.lit("[true,"), F.col("o_orderkey").cast("string"), F.lit(",false,"), F.col("o_custkey").cast("string"), F.lit(","), F.substr(text, F.lit(2)))
+    values = table(spark, sf_dir, "orders").select("o_orderkey", F.variant_get(F.parse_json(raw), "$", "array<variant>").alias("v"))
+    return values.select("o_orderkey", F.array_join(F.transform(normalize_mixed(F.col("v")), lambda x: x.cast("string")), ",").alias("ordered"))
+
+
+@query(
+    """
+    SELECT o_orderkey, array_to_string(list_sort(['$.' || o_orderpriority || ' b', '$.' || o_orderpriority || ' a', '$.' || o_orderstatus || ' c']), ',') AS ordered
+    FROM orders
+    """
+)
+def q_normalize_omissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Omissions in order of path and rule."""
+    omission = lambda column, rule: F.struct(F.concat(F.lit("$."), F.col(column)).alias("path"), F.lit(rule).alias("rule_id"), F.lit("h").alias("human_review_digest"))
+    asked = F.array(omission("o_orderpriority", "b"), omission("o_orderstatus", "c"), omission("o_orderpriority", "a"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", normalize_omissions(asked).alias("o"))
+    return orders.select("o_orderkey", F.array_join(F.transform("o", lambda x: F.concat_ws(" ", x["path"], x["rule_id"])), ",").alias("ordered"))

@@ -202,6 +202,80 @@ def q_derive_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_PRODUCER_SQL = "['" + "', '".join(_PRODUCERS) + "'][l_linenumber]"
+
+
+@query(
+    f"""
+    SELECT l_orderkey AS package_id, 'e-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey AS evidence_id, {_PRODUCER_SQL} AS producer_type,
+           'producer' AS producer_id, 'tool-' || l_linenumber AS tool_role_id, 'id-tool-' || l_linenumber AS tool_identity, '1.0' AS tool_version,
+           'impl-tool-' || l_linenumber || '-' || o_orderpriority AS implementation_digest, 'b-' || l_orderkey || '-tool-' || l_linenumber AS binding_digest,
+           {_LINE_STATUS} AS status
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    """
+)
+def q_producer_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Who produced which record with which tool."""
+    return P.producer_inventory(_bound(spark, sf_dir))
+
+
+@query(
+    f"""
+    SELECT 'e-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey AS evidence_id, 'tool-binding' AS code, 'tool_version' AS field
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 7
+    UNION ALL
+    SELECT 'e-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey, 'package-time', 'created_at'
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 6
+    """
+)
+def q_record_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Producer records against their tool binding and the package's times."""
+    tool = F.col("tool_id")
+    bound = _bound(spark, sf_dir).withColumns({
+        "tool_identity": F.col("identity"), "tool_version": F.when(tool == "tool-7", "2.0").otherwise(F.col("version")),
+        "tool_implementation_digest": F.col("implementation_digest"), "created_at": F.when(tool == "tool-6", "2025-01-01T00:00:00Z").otherwise("2026-01-15T00:00:00Z"),
+    })
+    found = C.check(bound, P.record_rules(), path=F.col("evidence_id"), key=F.col("evidence_id"), keep=["evidence_id"])
+    return found.select("evidence_id", "code", "field")
+
+
+_ALLOWED_SQL = " OR ".join(f"(need = '{k}' AND NOT list_contains({list(v)}, behaviour))" for k, v in P.ABSENCE_BEHAVIOR.items())
+_BEHAVIOURS = sorted({b for v in P.ABSENCE_BEHAVIOR.values() for b in v})
+_NEEDS = sorted(P.ABSENCE_BEHAVIOR)
+
+
+@query(
+    f"""
+    SELECT o_orderkey, 'absence-behavior' AS code
+    FROM (SELECT o_orderkey, {_NEEDS}[1 + o_orderkey % {len(_NEEDS)}] AS need, {_BEHAVIOURS}[1 + o_custkey % {len(_BEHAVIOURS)}] AS behaviour FROM orders)
+    WHERE {_ALLOWED_SQL}
+    """
+)
+def q_absence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a tool policy does in a tool's absence must fit how much the tool is needed."""
+    pick = lambda values, n: F.element_at(F.array(*[F.lit(v) for v in values]), (F.lit(1) + n % len(values)).cast("int"))
+    policies = table(spark, sf_dir, "orders").select(
+        "o_orderkey", pick(_NEEDS, F.col("o_orderkey")).alias("requirement"), pick(_BEHAVIOURS, F.col("o_custkey")).alias("absence_behavior")
+    )
+    return C.check(policies, P.absence_rules(), path=F.col("o_orderkey"), key=F.col("o_orderkey"), keep=["o_orderkey"]).select("o_orderkey", "code")
+
+
+_LANE_SQL = " ".join(f"WHEN '{k}' THEN '{'|'.join(v)}'" for k, v in P.LANE.items())
+
+
+@query(
+    f"""
+    SELECT CAST(l_orderkey AS VARCHAR) AS claim_id, CASE {_PRODUCER_SQL} {_LANE_SQL} END AS entry, {_LINE_STATUS} AS status,
+           'implementation/impl-tool-' || l_linenumber || '-' || o_orderpriority AS lineage
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    """
+)
+def q_lane_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lane entries of the bound records."""
+    entries = P.lane_entries(_bound(spark, sf_dir), F.col("package_id").cast("string"))
+    return entries.select("claim_id", F.concat_ws("|", "lane", "kind", "source_kind").alias("entry"), "status", "lineage")
+
+
 def _staged_rules() -> list[C.Rule]:
     """Every stage of an export, each rule with the checks that it carries out."""
     key, mode = F.col("o_orderkey"), F.lit(E.CANDIDATE_MODE)
@@ -216,7 +290,7 @@ def _staged_rules() -> list[C.Rule]:
         *E.at_stage("bindings", [C.Rule("digest-binding", "bound_record", ~F.col("bound_record").eqNullSafe(key), "record is not the one that is bound")], ["digest-bindings", "export-profile-binding"]),
         *E.at_stage("values", [C.Rule("sensitive-value", "note", X.sensitive_class_of_form(F.col("note")).isNotNull(), "prohibited public value")], ["prohibited-value-scan"]),
         *E.at_stage("reviews", _review_rules(), ["review-gates", "review-subject-binding"]),
-        *E.at_stage("mode", E.fixture_review_rules(E.CANDIDATE_MODE), ["trusted-execution-mode"]),
+        *E.at_stage("mode", [*E.fixture_review_rules(E.CANDIDATE_MODE), *E.strict_review_rules()], ["trusted-execution-mode"]),
     ]
 
 

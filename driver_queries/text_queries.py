@@ -103,18 +103,27 @@ def q_sensitive_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where(F.col("sensitive_class").isNotNull()).select("page_id", "sensitive_class")
 
 
+_ASCII = "abcdefghijklmnopqrstuvwxyz"
+#: The full-width letters, which NFKC folds back.
+_WIDE = "".join(chr(ord(c) + 0xFEE0) for c in _ASCII)
+
+
 @query(
-    """
+    f"""
     SELECT page_id, CASE WHEN url LIKE 'https%' THEN to_base64(encode(url)) || '|' || url
-                         WHEN url LIKE '%.net/%' THEN replace(replace(url, ':', '%3A'), '/', '%2F') || '|' || url ELSE url END AS forms
+                         WHEN page_id % 3 = 0 THEN replace(replace(url, ':', '%3A'), '/', '%2F') || '%zz%FF|' || url || '%zz' || chr(65533)
+                         WHEN page_id % 3 = 1 THEN translate(url, '{_ASCII}', '{_WIDE}') || '|' || url ELSE url END AS forms
     FROM pages
     """
 )
 def q_decode_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decoded forms of addresses that were percent-encoded or base64-encoded."""
-    url = F.col("url")
-    escaped = F.replace(F.replace(url, F.lit(":"), F.lit("%3A")), F.lit("/"), F.lit("%2F"))
-    value = F.when(url.startswith("https"), F.base64(F.encode(url, "UTF-8"))).when(url.contains(".net/"), escaped).otherwise(url)
+    """Decoded forms of addresses that were percent-encoded (with a malformed and an invalid escape), base64-encoded or widened."""
+    url, kind = F.col("url"), F.col("page_id") % 3
+    escaped = F.concat(F.replace(F.replace(url, F.lit(":"), F.lit("%3A")), F.lit("/"), F.lit("%2F")), F.lit("%zz%FF"))
+    value = (
+        F.when(url.startswith("https"), F.base64(F.encode(url, "UTF-8"))).when(kind == 0, escaped)
+        .when(kind == 1, F.translate(url, _ASCII, _WIDE)).otherwise(url)
+    )
     pages = table(spark, sf_dir, "pages").select("page_id", value.alias("value"))
     return T.decode_forms(pages, "value").select("page_id", F.array_join("forms", "|").alias("forms"))
 
@@ -199,3 +208,20 @@ def q_prohibited_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A subject and a word of a closed list within 80 characters, in either order."""
     documents = _documents(spark, sf_dir, "text")
     return T.prohibited_claims(documents, "text", "license", verbs="(?:released?|under)").select("doc_id")
+
+
+@query(
+    """
+    SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'private-repository-locator' WHEN 1 THEN 'private-key-or-token' WHEN 2 THEN 'private-key-or-token' END AS sensitive_class
+    FROM pages
+    """
+)
+def q_sensitive_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes that only a decoded form shows: base64, percent-encoding and NFKC."""
+    kind = F.col("page_id") % 4
+    value = (
+        F.when(kind == 0, F.base64(F.encode(F.concat(F.lit("see /home/ops/"), F.col("page_id").cast("string")), "UTF-8")))
+        .when(kind == 1, F.lit("password%3A%20hidden")).when(kind == 2, F.lit("ｐａｓｓｗｏｒｄ＝hidden")).otherwise(F.lit("nothing to see"))
+    )
+    pages = table(spark, sf_dir, "pages").select("page_id", value.alias("value"))
+    return T.classify_sensitive(pages, "value").select("page_id", "sensitive_class")
