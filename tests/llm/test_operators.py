@@ -342,6 +342,33 @@ def test_near_lines_join_and_are_verified(spark):
     assert [(r["id"], r["exact"]) for r in repeats.collect()] == ([(2, False)] if near <= op8.DISTANCE else [])
 
 
+def test_bands_depend_on_the_compared_line_alone():
+    lines = ["Alpha beta, gamma! 42 delta é", "alpha  BETA gamma-17 delta é", "one two"]
+    alone = [op8.band_lines(__import__("pyarrow").array([x]), 1)[0] for x in lines]
+    for text in ("\n".join(lines), "\n" + "\n\n".join(lines) + " "):
+        together, length = op8.band_lines(__import__("pyarrow").array(["ab", text, " x"]), 1)
+        assert (together[1:4] == np.concatenate(alone)).all() and list(length[1:4]) == [len(op8.compared(x)) for x in lines]
+    assert (alone[0] == alone[1]).all()
+
+
+@pytest.mark.parametrize("words", [(5, 10), (10, 20), (20, 40), (40, 80)])
+def test_recall_of_lines_alike_by_edit_distance(spark, words):
+    """Against edit similarity alone: one letter changed is found nearly always, more of them often."""
+    rng = random.Random(words[0])
+    rows, want = [], set()
+    for k in range(300):
+        line = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(*words)))
+        other = list(line)
+        for at in rng.sample([i for i, c in enumerate(line) if c != " "], 1 if k % 2 else max(1, len(line) // 25)):
+            other[at] = "q" if other[at] != "q" else "z"
+        rows += [(2 * k, line), (2 * k + 1, "".join(other))]
+        if op8.alike(line, "".join(other), 90):
+            want.add(2 * k + 1)
+    _, repeats = op8.find_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = {r["id"] for r in repeats.collect()}
+    assert found <= want and len(found) >= 0.97 * len(want)
+
+
 # --- 9
 
 
