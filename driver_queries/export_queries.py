@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driver_queries.registry import query, table
-from ledgerloom.functions import text as X
 from ledgerloom.operators import contracts as C
 from ledgerloom.operators.findings import first_failure
 from ledgerloom.plans import export as E
@@ -276,6 +275,16 @@ def q_lane_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries.select("claim_id", F.concat_ws("|", "lane", "kind", "source_kind").alias("entry"), "status", "lineage")
 
 
+#: Every column of a candidate that holds text.
+_SCANNED = (
+    "candidate_id", "status", "original_status", "lifecycle", "original_lifecycle", "lifecycle_history", "event", "reviews", "public_artifacts", "omissions", "raw", "note",
+)
+
+
+def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.scan_candidates(_candidates(spark, sf_dir), "o_orderkey", json=["raw"])
+
+
 def _staged_rules() -> list[C.Rule]:
     """Every stage of an export, each rule with the checks that it carries out."""
     key, mode = F.col("o_orderkey"), F.lit(E.CANDIDATE_MODE)
@@ -288,7 +297,7 @@ def _staged_rules() -> list[C.Rule]:
         *E.at_stage("allowlist", C.closed_fields("raw", ["owner"], code="allowlist"), ["allowlist", "prohibited-field-scan"]),
         *E.at_stage("evidence", C.array_shape("public_artifacts", at_most=8, code="evidence"), ["path-boundary", "exporter-implementation-manifest"]),
         *E.at_stage("bindings", [C.Rule("digest-binding", "bound_record", ~F.col("bound_record").eqNullSafe(key), "record is not the one that is bound")], ["digest-bindings", "export-profile-binding"]),
-        *E.at_stage("values", [C.Rule("sensitive-value", "note", X.sensitive_class_of_form(F.col("note")).isNotNull(), "prohibited public value")], ["prohibited-value-scan"]),
+        *E.at_stage("values", E.sensitive_rules(_SCANNED), ["prohibited-value-scan"]),
         *E.at_stage("reviews", _review_rules(), ["review-gates", "review-subject-binding"]),
         *E.at_stage("mode", [*E.fixture_review_rules(E.CANDIDATE_MODE), *E.strict_review_rules()], ["trusted-execution-mode"]),
     ]
@@ -312,7 +321,7 @@ _FAILURES_SQL = f"""
 )
 def q_first_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O2: the earliest failing stage of every candidate."""
-    found = C.check(_candidates(spark, sf_dir), _staged_rules(), path=F.col("o_orderkey"), key=F.col("o_orderkey"), keep=["o_orderkey"])
+    found = C.check(_scanned(spark, sf_dir), _staged_rules(), path=F.col("o_orderkey"), key=F.col("o_orderkey"), keep=["o_orderkey"])
     return first_failure(found, ["o_orderkey"], "stage", ["code", "field"])
 
 
@@ -368,7 +377,7 @@ def _digest_sql(domain: str, text: str) -> str:
 def q_export_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bundle of every accepted candidate, with its digests and the checks that ran, or the failing stage."""
     exported = E.export_bundle(
-        _candidates(spark, sf_dir), _staged_rules(), key="o_orderkey", mode=E.CANDIDATE_MODE, interface="staged-file",
+        _scanned(spark, sf_dir), _staged_rules(), key="o_orderkey", mode=E.CANDIDATE_MODE, interface="staged-file",
         digest_columns=["candidate_id", "status", "o_custkey"],
     )
     return exported.select(

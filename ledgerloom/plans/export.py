@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.digest import normalize_omissions, normalize_set, row_digest
 from ledgerloom.operators import contracts as C
+from ledgerloom.operators.leaves import deepest, flatten_leaves, json_leaves
+from ledgerloom.operators.text_scan import classify_sensitive
 
 # Modes, review slots and their scopes, roles, states, checks and omission rules.
 CANDIDATE_MODE = "export-candidate"
@@ -210,6 +212,28 @@ def apply_omissions(
     return out
 
 
+def scan_candidates(candidates: DataFrame, key: str, *, json: Sequence[str] = (), output: str = "sensitive_columns") -> DataFrame:
+    """Adds the columns in which some string leaf, in any decoded form, holds a sensitive value; an empty array if none does.
+
+    Every column but ``key`` is walked, those of ``json`` as texts and as what they hold (one aggregate each finds how deep). Leaves
+    are classified one by one and reduced per candidate; ``key`` is unique.
+    """
+    leaves = flatten_leaves(candidates, [key])
+    for name in json:
+        inside = json_leaves(candidates, [key], name, max(1, deepest(candidates, name)))
+        leaves = leaves.unionByName(inside.select(key, F.lit(f"$.{name}").alias("path"), "value"))
+    found = classify_sensitive(leaves, "value").where(F.col("sensitive_class").isNotNull())
+    column = F.regexp_extract("path", r"^\$\.([^.\[]+)", 1)
+    found = found.groupBy(F.col(key).alias("__key")).agg(F.array_sort(F.collect_set(column)).alias(output))
+    joined = candidates.join(found, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
+    return joined.withColumn(output, F.coalesce(output, F.array().cast("array<string>")))
+
+
+def sensitive_rules(columns: Sequence[str], scanned: str = "sensitive_columns") -> list[C.Rule]:
+    """No column holds a sensitive value; for rows of :func:`scan_candidates`."""
+    return [C.Rule("sensitive-value", c, F.coalesce(F.array_contains(scanned, c), F.lit(True)), "prohibited public value") for c in columns]
+
+
 def earliest_failure(rules: Sequence[C.Rule]) -> Column:
     """(stage, code, field) of the first failing rule of a row, NULL if none fails; no shuffle."""
     failures = []

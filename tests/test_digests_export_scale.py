@@ -138,3 +138,15 @@ def test_a_hot_key_is_split_by_adaptive_execution(spark):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_every_leaf_of_a_candidate_is_scanned_in_every_form(spark):
+    path = "see /home/ops/run.log"
+    rows = [
+        (1, "plain", ["a"], '{"owner": 1}'), (2, path, ["a"], "{}"), (3, "plain", ["a", base64.b64encode(path.encode() * 3).decode()], "{}"),
+        (4, "see%20%2Fhome%2Fops%2Frun.log", [], "{}"), (5, "plain", [], r'{"owner": [{"x": "see /home/ops/run.log"}]}'), (None, path, [], "{}"),
+    ]
+    frame = spark.createDataFrame(rows, "k long, note string, artifacts array<string>, raw string")
+    scanned = E.scan_candidates(frame, "k", json=["raw"])
+    assert scanned.columns == [*frame.columns, "sensitive_columns"]
+    assert {r["k"]: r["sensitive_columns"] for r in scanned.collect()} == {1: [], 2: ["note"], 3: ["artifacts"], 4: ["note"], 5: ["raw"], None: ["note"]}
