@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driver_queries.registry import query, table
+from ledgerloom.functions.digest import content_digest, row_digest
 from ledgerloom.operators import contracts as C
 from ledgerloom.operators.findings import first_failure
 from ledgerloom.plans import export as E
@@ -29,6 +32,20 @@ def _subject() -> Column:
 _SUBJECT_SQL = """'sha256:' || sha256('review-subject/v1' || chr(0) || '{"order":"' || o_orderkey || '","owner":"' || o_custkey || '"}')"""
 
 
+def _record() -> Column:
+    """The digest of the record that a candidate binds, recomputed from the order."""
+    return row_digest({"order": F.col("o_orderkey").cast("string"), "owner": F.col("o_custkey").cast("string")}, "bound-record/v1")
+
+
+#: The profile and the exporter's manifest in force, and the digests that candidates recorded of them.
+_PROFILE = json.dumps({"allowed": ["owner"], "omissions": [r["rule_id"] for r in E.OMISSION_RULES], "prohibited": E.PROHIBITED_FIELDS}, sort_keys=True)
+_MANIFEST = json.dumps({"checks": sorted((*E.COMMON_CHECKS, *E.INTERFACE_CHECKS["staged-file"])), "stages": E.STAGES}, sort_keys=True)
+_PINNED = {
+    "profile": "sha256:e686f550ccb4fd3cfd07b9543cebcea34ada510b80022b726736641dd56656b1",
+    "manifest": "sha256:1ad277dab739f61eb19786494cb34adf4fb97d7c66fbe7ee2d290ea71deaff22",
+}
+
+
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as export candidates: every fault comes from a property of the order."""
     status, priority, price = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_totalprice")
@@ -83,7 +100,9 @@ def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array("o_orderstatus", "o_orderpriority").alias("public_artifacts"),
         omissions.alias("omissions"), "o_custkey", F.concat(F.lit('{"owner": '), F.col("o_custkey").cast("string"), F.lit("}")).alias("raw"),
         F.when(price.between(110000, 111000), "see /home/ops/run.log").otherwise(F.concat(F.lit("order of priority "), priority)).alias("note"),
-        F.when(price.between(112000, 113000), F.lit(None)).otherwise(F.col("o_orderkey")).alias("bound_record"), "o_orderkey",
+        F.when(price.between(112000, 113000), F.lit(None)).otherwise(_record()).alias("bound_record"), "o_orderkey",
+        F.concat(F.lit('{"priority": "'), priority, F.lit('"}')).alias("configuration"), F.when(price > 250000, "pass").otherwise("fail").alias("reviewed_status"),
+        F.lit(_PINNED["profile"]).alias("profile_digest"), F.lit(_PINNED["manifest"]).alias("manifest_digest"),
     ).withColumn("raw", F.when(F.col("note").startswith("see"), F.col("raw")).when(F.col("o_custkey") % 97 == 0, F.lit('{"owner": 1, "email": "x"}')).otherwise(F.col("raw")))
 
 
@@ -278,27 +297,35 @@ def q_lane_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Every column of a candidate that holds text.
 _SCANNED = (
     "candidate_id", "status", "original_status", "lifecycle", "original_lifecycle", "lifecycle_history", "event", "reviews", "public_artifacts", "omissions", "raw", "note",
+    "bound_record", "configuration", "reviewed_status", "profile_digest", "manifest_digest",
 )
 
 
 def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.scan_candidates(_candidates(spark, sf_dir), "o_orderkey", json=["raw"])
+    return E.scan_candidates(_candidates(spark, sf_dir), "o_orderkey", json=["raw", "configuration"])
 
 
 def _staged_rules() -> list[C.Rule]:
     """Every stage of an export, each rule with the checks that it carries out."""
-    key, mode = F.col("o_orderkey"), F.lit(E.CANDIDATE_MODE)
+    mode = F.lit(E.CANDIDATE_MODE)
     return [
         *E.at_stage("lifecycle", E.lifecycle_rules(F.col("lifecycle"), F.col("original_lifecycle")), ["lifecycle-limit"]),
         *E.at_stage("candidate-id", [C.matches_by("candidate_id", mode, E.CANDIDATE_IDS, code="candidate-id")], ["candidate-schema"]),
-        *E.at_stage("schema", C.require("o_orderkey", "status", "lifecycle"), ["evidence-schema", "strict-input-parse"]),
-        *E.at_stage("schema", [C.one_of("status", ["pass", "fail"])], ["closed-configuration", "review-status-parity"]),
+        *E.at_stage("schema", C.require("o_orderkey", "status", "lifecycle"), ["evidence-schema"]),
+        *E.at_stage("schema", E.strict_parse_rules("raw"), ["strict-input-parse"]),
+        *E.at_stage("schema", [*E.strict_parse_rules("configuration"), *C.closed_fields("configuration", ["priority"], exact=True)], ["closed-configuration"]),
+        *E.at_stage("schema", [C.one_of("status", ["pass", "fail"])], ["evidence-schema"]),
         *E.at_stage("schema", [C.text_length("raw", 2, 200)], ["input-size"]),
-        *E.at_stage("allowlist", C.closed_fields("raw", ["owner"], code="allowlist"), ["allowlist", "prohibited-field-scan"]),
-        *E.at_stage("evidence", C.array_shape("public_artifacts", at_most=8, code="evidence"), ["path-boundary", "exporter-implementation-manifest"]),
-        *E.at_stage("bindings", [C.Rule("digest-binding", "bound_record", ~F.col("bound_record").eqNullSafe(key), "record is not the one that is bound")], ["digest-bindings", "export-profile-binding"]),
+        *E.at_stage("allowlist", C.closed_fields("raw", ["owner"], code="allowlist"), ["allowlist"]),
+        *E.at_stage("allowlist", E.field_name_rules("raw"), ["prohibited-field-scan"]),
+        *E.at_stage("evidence", C.array_shape("public_artifacts", at_most=8, code="evidence")),
+        *E.at_stage("evidence", E.path_rules("public_artifacts"), ["path-boundary"]),
+        *E.at_stage("bindings", E.digest_rules("bound_record", _record()), ["digest-bindings"]),
+        *E.at_stage("bindings", E.digest_rules("profile_digest", content_digest(F.lit(_PROFILE))), ["export-profile-binding"]),
+        *E.at_stage("bindings", E.digest_rules("manifest_digest", content_digest(F.lit(_MANIFEST))), ["exporter-implementation-manifest"]),
         *E.at_stage("values", E.sensitive_rules(_SCANNED), ["prohibited-value-scan"]),
         *E.at_stage("reviews", _review_rules(), ["review-gates", "review-subject-binding"]),
+        *E.at_stage("reviews", [C.Rule("review-status-parity", "reviewed_status", ~F.col("reviewed_status").eqNullSafe(F.col("status")), "status is not the reviewed one")], ["review-status-parity"]),
         *E.at_stage("mode", [*E.fixture_review_rules(E.CANDIDATE_MODE), *E.strict_review_rules()], ["trusted-execution-mode"]),
     ]
 

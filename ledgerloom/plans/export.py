@@ -234,6 +234,28 @@ def sensitive_rules(columns: Sequence[str], scanned: str = "sensitive_columns")
     return [C.Rule("sensitive-value", c, F.coalesce(F.array_contains(scanned, c), F.lit(True)), "prohibited public value") for c in columns]
 
 
+def path_rules(paths: str, *, code: str = "path-boundary") -> list[C.Rule]:
+    """Every path of an array is relative and stays under its root: no scheme or drive, backslash, control character or ``..``."""
+    leaves = r"^[/~]|^[A-Za-z][A-Za-z0-9+.-]*:|\\|[\x00-\x1F]|(^|/)\.\.(/|\z)|^\z"
+    return [C.Rule(code, paths, F.col(paths).isNull() | F.coalesce(F.exists(paths, lambda p: F.coalesce(p.rlike(leaves), F.lit(True))), F.lit(True)), "path leaves the root")]
+
+
+def strict_parse_rules(raw: str, *, code: str = "schema") -> list[C.Rule]:
+    """Text that is not one JSON value, or has a member twice."""
+    return [C.Rule(code, raw, F.try_parse_json(F.col(raw)).isNull(), f"{raw}: text is not strict JSON")]
+
+
+def field_name_rules(raw: str, *, code: str = "allowlist") -> list[C.Rule]:
+    """A prohibited member name at any depth of a JSON text, found before each colon, escapes undone by parsing."""
+    names = F.regexp_extract_all(F.lower(F.try_parse_json(F.col(raw)).cast("string")), F.lit(r'"((?:[^"\\]|\\.)*)"\s*:'), F.lit(1))
+    return [C.Rule(code, "$", F.coalesce(F.arrays_overlap(names, F.array(*[F.lit(n) for n in PROHIBITED_FIELDS])), F.lit(False)), "a prohibited field name is present")]
+
+
+def digest_rules(recorded: str, recomputed: Column, *, code: str = "digest-binding") -> list[C.Rule]:
+    """The recorded digest is the one computed anew."""
+    return [C.Rule(code, recorded, ~F.col(recorded).eqNullSafe(recomputed), "digest is not the one computed anew")]
+
+
 def earliest_failure(rules: Sequence[C.Rule]) -> Column:
     """(stage, code, field) of the first failing rule of a row, NULL if none fails; no shuffle."""
     failures = []

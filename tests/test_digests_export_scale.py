@@ -150,3 +150,21 @@ def test_every_leaf_of_a_candidate_is_scanned_in_every_form(spark):
     scanned = E.scan_candidates(frame, "k", json=["raw"])
     assert scanned.columns == [*frame.columns, "sensitive_columns"]
     assert {r["k"]: r["sensitive_columns"] for r in scanned.collect()} == {1: [], 2: ["note"], 3: ["artifacts"], 4: ["note"], 5: ["raw"], None: ["note"]}
+
+
+def test_each_named_check_of_an_export_fails_on_what_it_names(spark):
+    from driver_queries import export_queries as Q
+
+    rules = Q._staged_rules()
+    good = Q._scanned(spark, "/root/testdata/sf0.001").where(E.earliest_failure(rules).isNull()).limit(1).cache()
+    faults = {
+        "strict-input-parse": {"raw": F.lit('{"owner": 1')}, "closed-configuration": {"configuration": F.lit('{"priority": "x", "other": 1}')},
+        "prohibited-field-scan": {"raw": F.lit('{"owner": {"a": [{"Pass\\u0077ord": 1}]}}')}, "path-boundary": {"public_artifacts": F.array(F.lit("a/../../b"))},
+        "digest-bindings": {"bound_record": F.lit("sha256:" + "0" * 64)}, "export-profile-binding": {"profile_digest": F.lit("sha256:" + "0" * 64)},
+        "exporter-implementation-manifest": {"manifest_digest": F.lit(None).cast("string")}, "review-status-parity": {"reviewed_status": F.lit("other")},
+    }
+    for check, changed in {"none": {}, **faults}.items():
+        frame = good.withColumns(changed) if changed else good
+        failed = frame.select(F.array(*[F.coalesce(F.size(r.messages) > 0 if r.messages is not None else r.bad, F.lit(False)) for r in rules])).first()[0]
+        names = {c for r, bad in zip(rules, failed, strict=True) if bad for c in r.checks}
+        assert (check in names) if changed else not names, (check, names)
