@@ -32,13 +32,25 @@ _GLYPHS = str.maketrans(HOMOGLYPHS)
 _DIGITS = str.maketrans(SUBSTITUTES)
 _MIXED = re.compile(r"(?<![^\W_])(?:[0134578@$][^\W\d_]|[^\W\d_]+[0134578@$!]+[^\W\d_])[^\W_]*(?:[0134578@$!]+[^\W\d_]+)*")
 _GAPS = re.compile(r"[\W\d_]+")
-_SIGNS = re.compile(r"[0134578@$!][^\W\d_]")
+#: Runs of letters and substitutes: digits anywhere, signs before a letter or digit, an exclamation mark only inside.
+_RUN = re.compile(r"(?<![@$])[@$]*+(?:[^\W\d_]|[0134578])++(?:[@$!]++(?:[^\W\d_]|[0134578])++)*+")
+_LETTER = re.compile(r"[^\W\d_]")
+_SIGNS = re.compile(r"[0134578@$!][^\W\d_]|[^\W\d_][0134578]")
 #: Invisible characters that split words.
 _HIDDEN = re.compile("[­​-‏⁠﻿]")
 
 MEASURES = ("weight", "density", "hits", "words")
 
 
+def _read(run: re.Match) -> str:
+    """A run of letters and substitutes as letters; with the run itself after it if it may be a number with a unit or a version."""
+    word = run[0]
+    letters = word.translate(_DIGITS)
+    if letters == word or not _LETTER.search(word):
+        return word
+    return letters if _MIXED.fullmatch(word) else f"{letters} {word}"
+
+
 def fold(text: str | None) -> str:
     """Words in lower case, look-alikes and digits inside words read as the letters they stand for, single spaces around."""
     body = text or ""
@@ -48,7 +60,7 @@ def fold(text: str | None) -> str:
     if not body.isascii():
         body = body.translate(_GLYPHS)
     if _SIGNS.search(body):
-        body = _MIXED.sub(lambda m: m[0].translate(_DIGITS), body)
+        body = _RUN.sub(_read, body)
     return " " + _GAPS.sub(" ", body).strip() + " "
 
 

@@ -342,6 +342,14 @@ def test_near_lines_join_and_are_verified(spark):
     assert [(r["id"], r["exact"]) for r in repeats.collect()] == ([(2, False)] if near <= op8.DISTANCE else [])
 
 
+def test_substitutes_at_either_end_are_read_as_letters():
+    want = {"70x1c": "toxic", "455hole": "asshole", "a55": "ass", "idi07": "idiot", "dumba55": "dumbass", "sh1t": "shit"}
+    for word, plain in want.items():
+        assert plain in op1.fold(f"x, {word}!").split() and plain in op1.fold(word).split()
+    assert "kg" in op1.fold("10kg").split() and "mp" in op1.fold("mp3").split()
+    assert op1.fold("hello! 1,000 3 times") == " hello times "
+
+
 def test_bands_depend_on_the_compared_line_alone():
     lines = ["Alpha beta, gamma! 42 delta é", "alpha  BETA gamma-17 delta é", "one two"]
     alone = [op8.band_lines(__import__("pyarrow").array([x]), 1)[0] for x in lines]
