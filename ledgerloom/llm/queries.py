@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.llm import conversation_repair as op11
 from ledgerloom.llm import decontaminate as op3
 from ledgerloom.llm import jaccard as op6
 from ledgerloom.llm import language as op10
@@ -15,6 +16,8 @@ from ledgerloom.llm import line_dedup as op8
 from ledgerloom.llm import packing as op4
 from ledgerloom.llm import quality_model as op2
 from ledgerloom.llm import quality_rules as op7
+from ledgerloom.llm import secrets as op13
+from ledgerloom.llm import spelling as op12
 from ledgerloom.llm import token_counts as op5
 from ledgerloom.llm import toxicity as op1
 
@@ -102,7 +105,40 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", (remainder(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def damaged(rows: DataFrame) -> tuple[DataFrame, Column]:
+    """Conversations with planted faults, and how often each row is there."""
+    as_text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat_ws(":", as_text("conv_id"), as_text("turn")).cast("binary")) % 20
+    text = F.when(fault == 1, F.lit("")).when(fault == 2, F.regexp_replace(as_text("text"), "[.!?]", "")).otherwise(as_text("text"))
+    faulty = rows.select("conv_id", "turn", F.when(fault == 4, F.lit("user")).otherwise(as_text("role")).alias("role"), text.alias("text"), F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1).alias("times"))
+    return faulty, F.col("times")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, times = damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return op11.summaries(op11.repair(rows, copies=times)).withColumnRenamed("conv", "conv_id")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = op12.letter_runs(documents(spark, sf_dir), F.col("doc_id"))
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
+    at = (h % F.length("run")).cast("int")
+    word = F.when(h % 97 == 0, F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))).otherwise(F.col("run"))
+    return op12.variant_groups(op12.vocabulary(runs.select(word.alias("word"))))
+
+
+def op13_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op13.scan_secrets(documents(spark, sf_dir), keep=["doc_id"])
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    number = lambda test: F.size(F.filter("spans", test)).cast("long")
+    return found.select(
+        "row.doc_id", number(lambda s: s["kind"] == 0).alias("n_assign"), number(lambda s: s["kind"] == 1).alias("n_access"), number(lambda s: s["kind"] == 2).alias("n_hex"),
+        F.sha2(op13.span_list(base).cast("binary"), 256).alias("base_sha256"), op13.span_list(F.col("spans")).alias("spans"),
+        number(lambda s: s["verdict"] == "live").alias("n_live"), number(lambda s: s["verdict"] == "example").alias("n_example"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_toxicity, op2_quality_classifier, op3_benchmark_decontamination, op4_best_fit_packing, op5_token_counts, op6_ngram_jaccard_join, op7_quality_rules, op8_line_dedup, op9_lm_scoring, op10_language_id)
+    for f in (op1_toxicity, op2_quality_classifier, op3_benchmark_decontamination, op4_best_fit_packing, op5_token_counts, op6_ngram_jaccard_join, op7_quality_rules, op8_line_dedup, op9_lm_scoring, op10_language_id, op11_conversation_repair, op12_spelling_variants, op13_secret_scans)
 }
