@@ -305,10 +305,13 @@ def _nested_props(kind: Column, props: Column) -> Column:
     return F.when(kind.isin("purchase", "click"), nested).otherwise(props)
 
 
-def _nested_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
-    """Events with a nested JSON text, and how deep the texts nest."""
-    events = table(spark, sf_dir, "events").withColumn("raw", _nested_props(F.col("event_type"), F.col("props")))
-    return events, L.deepest(events, "raw")
+def _nested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with a nested JSON text. Every 1,000th holds a string of 9,000 characters, escapes among them, and one in 1,000 is malformed brackets."""
+    nested = _nested_props(F.col("event_type"), F.col("props"))
+    padded = F.concat(F.lit('{"pad": "'), F.repeat(F.lit('\\n\\"ab'), 1500), F.lit('", '), F.substr(nested, F.lit(2)))
+    broken = F.repeat(F.lit("["), 3000)
+    raw = F.when(F.col("event_id") % 1000 == 7, padded).when((F.col("event_id") % 1000 == 8) & (F.col("event_type") == "view"), broken).otherwise(nested)
+    return table(spark, sf_dir, "events").withColumn("raw", raw)
 
 
 @query(
@@ -322,8 +325,8 @@ def _nested_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
 )
 def q_forbidden_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Member names on a deny list, at any depth of a JSON text."""
-    events, depth = _nested_events(spark, sf_dir)
-    return L.forbidden_members(L.json_nodes(events, ["event_id"], "raw", depth), ["event_id"], [*E.PROHIBITED_FIELDS, "b"])
+    nodes = L.json_nodes(_nested_events(spark, sf_dir), ["event_id"], "raw")
+    return L.forbidden_members(nodes, ["event_id"], [*E.PROHIBITED_FIELDS, "b"])
 
 
 @query(
@@ -333,8 +336,7 @@ def q_forbidden_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_forbidden_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same names without their paths, from the text's strings alone."""
-    events = table(spark, sf_dir, "events").withColumn("raw", _nested_props(F.col("event_type"), F.col("props")))
-    return L.forbidden_names(events, ["event_id"], "raw", [*E.PROHIBITED_FIELDS, "b"])
+    return L.forbidden_names(_nested_events(spark, sf_dir), ["event_id"], "raw", [*E.PROHIBITED_FIELDS, "b"])
 
 
 _LEAVES_SQL = f"""
@@ -345,22 +347,21 @@ _LEAVES_SQL = f"""
     SELECT event_id, '$.who.tags[1].b', event_type FROM events WHERE event_type IN ('purchase', 'click')
     UNION ALL
     SELECT event_id, '{_DEEP_PATH}', 'deep' FROM events WHERE event_type IN ('purchase', 'click')
+    UNION ALL
+    SELECT event_id, '$.pad', repeat(chr(10) || '"ab', 1500) FROM events WHERE event_id % 1000 = 7
     """
 
 
 @query(_LEAVES_SQL)
 def q_json_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """String leaves of a free-form JSON text."""
-    events, depth = _nested_events(spark, sf_dir)
-    return L.json_leaves(events, ["event_id"], "raw", depth)
+    return L.json_leaves(_nested_events(spark, sf_dir), ["event_id"], "raw")
 
 
 @query(_LEAVES_SQL)
 def q_variant_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """String leaves of a VARIANT column."""
-    events, depth = _nested_events(spark, sf_dir)
-    leaves = L.flatten_leaves(events.select("event_id", F.parse_json("raw").alias("v")), ["event_id"], depth=depth)
-    return leaves.withColumn("path", F.regexp_replace("path", r"^\$\.v", r"\$"))
+    return L.json_leaves(_nested_events(spark, sf_dir).select("event_id", F.try_parse_json("raw").alias("v")), ["event_id"], "v")
 
 
 @query(
