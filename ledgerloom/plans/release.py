@@ -146,27 +146,24 @@ def chain_failures(chain: DataFrame, at: Column, release: str = "release_id") ->
     ``compromise_indicator`` and the columns of :func:`release_entry_rules`.
     """
     key, order = [release], ["position"]
-    # The three look-backs share one pass along the chain.
+    # All look-backs share one pass along the chain.
+    revoked, ended = F.col("key_status") == "revoked", F.col("state") != "active"
     linked = with_history(
-        chain, key, order, lag={"__before": F.col("status_set_digest")}, last_valid={"__last": F.col("generated_at")}, position="__place"
+        chain, key, order, lag={"__before": F.col("status_set_digest")}, last_valid={"__last": F.col("generated_at")},
+        seen={"__revoked": revoked, "__ended": ended}, position="__place",
     )
     steps = F.array_compact(F.array(
         F.when(~F.col("revision").eqNullSafe(F.col("__place")), "status-chain-revision-sequence"),
         F.when(~F.col("previous_digest").eqNullSafe(F.col("__before")), "status-chain-revision-binding"),
         F.when(F.col("generated_at") <= F.col("__last"), "status-chain-revision-order"),
+        F.when(F.col("__revoked") & ~F.coalesce(revoked, F.lit(False)), "status-chain-key-state-rollback"),
+        F.when(F.col("__ended") & (F.col("state") == "active"), "status-chain-release-state-rollback"),
     ))
     stepped = linked.select(release, F.explode(steps).alias("reason"))
-    broken = [
-        (H.state_rollback(chain, key, order, F.col("key_status") == "revoked"), "status-chain-key-state-rollback"),
-    ]
-    ended = H.state_rollback(chain, key, order, F.col("state") != "active").where(F.col("state") == "active")
-    broken.append((ended, "status-chain-release-state-rollback"))
     entries = chain.withColumn("status", F.col("key_status"))
     rules = [*release_entry_rules(at, release), *key_entry_rules(at)]
     found = C.check(entries, rules, path=F.col(release), key=F.col(release), keep=key).select(release, F.col("code").alias("reason"))
     found = found.unionByName(stepped)
-    for rows, reason in broken:
-        found = found.unionByName(rows.select(release, F.lit(reason).alias("reason")))
     return found.select(release, F.lit("lifecycle").alias("stage"), F.lit("invalid-structure").alias("status"), "reason")
 
 

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.ordered import prefix_chunk, with_history
+from ledgerloom.functions.ordered import default_chunk, prefix_chunk, sampled_chunk, with_history
 from ledgerloom.operators import history as H
 
 STATES = {"collected": ["validated", "withdrawn"], "validated": ["sanitized", "withdrawn"], "sanitized": ["published"], "published": []}
@@ -68,8 +68,43 @@ def test_a_hot_key_whose_first_order_column_is_constant_is_spread(spark):
 def test_default_chunk_needs_a_number_or_a_time(spark):
     df = spark.createDataFrame([("a", "x")], "k string, o string")
     with pytest.raises(ValueError):
-        with_history(df, ["k"], ["o"], position="n")
+        default_chunk(df, "o")
     assert with_history(df, ["k"], ["o"], position="n", chunk=None).collect()[0].n == 1
+    assert with_history(df, ["k"], ["o"], position="n").collect()[0].n == 1
+
+
+@pytest.mark.parametrize("first", [None, "same"])
+def test_a_sampled_chunk_cuts_hot_keys_along_any_order(spark, first):
+    """Of a constant or null first order column and a text; small keys stay whole; results equal a plain pass."""
+    rng = random.Random(11)
+    rows = [(rng.choice(["hot"] * 6 + [f"k{i}" for i in range(40)]), first, f"{i:05d}", rng.choice([None, "x", "y"]), rng.random() < 0.005) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, first string, pos string, s string, flag boolean")
+    chunk = sampled_chunk(df, ["k"], ["first", "pos"], sample_rows=1000, pieces=20, least=1)
+    chunks = {r.k: r.n for r in df.groupBy("k").agg(F.count_distinct(chunk).alias("n")).collect()}
+    assert chunks["hot"] > 2 and all(n == 1 for k, n in chunks.items() if k != "hot")
+    assert sampled_chunk(df.where("k <> 'hot'"), ["k"], ["first", "pos"], least=500) is None
+    out = with_history(df, ["k"], ["first", "pos"], lag={"before": F.col("s")}, last_valid={"valid": F.col("s")}, seen={"seen": F.col("flag")}, position="n", chunk=chunk)
+    expected, state = set(), {}
+    for k, _, pos, s, flag in sorted(rows, key=lambda r: r[2]):
+        before, valid, seen, n = state.get(k, (None, None, False, 0))
+        expected.add((k, pos, before, valid, seen, n + 1))
+        state[k] = (s, s if s is not None else valid, seen or flag, n + 1)
+    assert {(r.k, r.pos, r.before, r.valid, r.seen, r.n) for r in out.collect()} == expected
+
+
+def test_a_cut_history_is_read_and_exchanged_once(spark, tmp_path):
+    spark.createDataFrame(make_log(), "k string, pos long, v int, s string, flag boolean").write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log")).select("k", "pos", "s")
+    out = with_history(log, ["k"], ["pos"], lag={"before": F.col("s")}, chunk=F.floor(F.col("pos") / 50))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = out.groupBy().count()._jdf.queryExecution().executedPlan().toString()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 1, plan
 
 
 def test_transitions_boundaries_and_times(spark):
