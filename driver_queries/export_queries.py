@@ -7,12 +7,13 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driver_queries.registry import query, table
+from driver_queries.registry import query, scan_partitions, table
 from ledgerloom.functions.digest import content_digest, row_digest
 from ledgerloom.operators import contracts as C
 from ledgerloom.operators.findings import first_failure
 from ledgerloom.plans import export as E
 from ledgerloom.plans import packages as P
+from ledgerloom.sources.tables import read_for_scan
 
 _FLAGS = ("contains_secret", "contains_customer_data")
 
@@ -46,8 +47,8 @@ _PINNED = {
 }
 
 
-def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as export candidates: every fault comes from a property of the order."""
+def _candidates(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """Orders as export candidates: every fault comes from a property of the order. With ``partitions``, dealt out for a scan of their texts."""
     status, priority, price = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_totalprice")
     subject = _subject()
     human = F.lit("authorized-human")
@@ -92,7 +93,8 @@ def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.array().cast(request))
     )
     code = F.upper(F.hex(F.col("o_orderkey")))
-    return table(spark, sf_dir, "orders").select(
+    orders = read_for_scan(spark, f"{sf_dir}/orders.parquet", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"], "o_orderkey", partitions)
+    return orders.select(
         F.concat(F.lit("PM-EXPORT-CANDIDATE-"), F.lpad(code, 32, "0")).alias("candidate_id"),
         F.when(price > 250000, "pass").otherwise("fail").alias("status"), F.when(price > 260000, "pass").otherwise("fail").alias("original_status"),
         lifecycle.alias("lifecycle"), lifecycle.alias("original_lifecycle"), history.alias("lifecycle_history"), event.alias("event"),
@@ -294,19 +296,12 @@ def q_lane_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries.select("claim_id", F.concat_ws("|", "lane", "kind", "source_kind").alias("entry"), "status", "lineage")
 
 
-#: Every column of a candidate that holds text.
-_SCANNED = (
-    "candidate_id", "status", "original_status", "lifecycle", "original_lifecycle", "lifecycle_history", "event", "reviews", "public_artifacts", "omissions", "raw", "note",
-    "bound_record", "configuration", "reviewed_status", "profile_digest", "manifest_digest",
-)
-
-
-def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.scan_candidates(_candidates(spark, sf_dir), "o_orderkey", json=["raw", "configuration"])
+def _scanned(candidates: DataFrame) -> DataFrame:
+    return E.scan_candidates(candidates, "o_orderkey", json=["raw", "configuration"])
 
 
-def _staged_rules() -> list[C.Rule]:
-    """Every stage of an export, each rule with the checks that it carries out."""
+def _staged_rules(columns: list[str]) -> list[C.Rule]:
+    """Every stage of an export, each rule with the checks that it carries out. ``columns``: those that were scanned."""
     mode = F.lit(E.CANDIDATE_MODE)
     return [
         *E.at_stage("lifecycle", E.lifecycle_rules(F.col("lifecycle"), F.col("original_lifecycle")), ["lifecycle-limit"]),
@@ -323,7 +318,7 @@ def _staged_rules() -> list[C.Rule]:
         *E.at_stage("bindings", E.digest_rules("bound_record", _record()), ["digest-bindings"]),
         *E.at_stage("bindings", E.digest_rules("profile_digest", content_digest(F.lit(_PROFILE))), ["export-profile-binding"]),
         *E.at_stage("bindings", E.digest_rules("manifest_digest", content_digest(F.lit(_MANIFEST))), ["exporter-implementation-manifest"]),
-        *E.at_stage("values", E.sensitive_rules(_SCANNED), ["prohibited-value-scan"]),
+        *E.at_stage("values", E.sensitive_rules(columns), ["prohibited-value-scan"]),
         *E.at_stage("reviews", _review_rules(), ["review-gates", "review-subject-binding"]),
         *E.at_stage("reviews", [C.Rule("review-status-parity", "reviewed_status", ~F.col("reviewed_status").eqNullSafe(F.col("status")), "status is not the reviewed one")], ["review-status-parity"]),
         *E.at_stage("mode", [*E.fixture_review_rules(E.CANDIDATE_MODE), *E.strict_review_rules()], ["trusted-execution-mode"]),
@@ -348,7 +343,9 @@ _FAILURES_SQL = f"""
 )
 def q_first_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O2: the earliest failing stage of every candidate."""
-    found = C.check(_scanned(spark, sf_dir), _staged_rules(), path=F.col("o_orderkey"), key=F.col("o_orderkey"), keep=["o_orderkey"])
+    candidates = _candidates(spark, sf_dir, scan_partitions(spark))
+    rules = _staged_rules(E.text_columns(candidates, "o_orderkey"))
+    found = C.check(_scanned(candidates), rules, path=F.col("o_orderkey"), key=F.col("o_orderkey"), keep=["o_orderkey"])
     return first_failure(found, ["o_orderkey"], "stage", ["code", "field"])
 
 
@@ -403,8 +400,9 @@ def _digest_sql(domain: str, text: str) -> str:
 )
 def q_export_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bundle of every accepted candidate, with its digests and the checks that ran, or the failing stage."""
+    candidates = _candidates(spark, sf_dir, scan_partitions(spark))
     exported = E.export_bundle(
-        _scanned(spark, sf_dir), _staged_rules(), key="o_orderkey", mode=E.CANDIDATE_MODE, interface="staged-file",
+        _scanned(candidates), _staged_rules(E.text_columns(candidates, "o_orderkey")), key="o_orderkey", mode=E.CANDIDATE_MODE, interface="staged-file",
         digest_columns=["candidate_id", "status", "o_custkey"],
     )
     return exported.select(
@@ -416,7 +414,7 @@ def q_export_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT o_orderkey, 12 AS stage, 'sanitization-checks' AS code FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '3-MEDIUM'")
 def q_export_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates that pass every rule are rejected all the same when a required check did not run."""
-    rules = [rule for rule in _staged_rules() if rule.stage == E.STAGE["candidate-id"]]
+    rules = [rule for rule in _staged_rules([]) if rule.stage == E.STAGE["candidate-id"]]
     candidates = _candidates(spark, sf_dir).withColumn("original_status", F.col("status"))
     plain = candidates.where((F.col("lifecycle") == "validated") & (F.element_at("public_artifacts", 2) == "3-MEDIUM"))
     exported = E.export_bundle(plain, rules, key="o_orderkey", mode=E.CANDIDATE_MODE, interface="staged-file", digest_columns=["candidate_id"])

@@ -27,3 +27,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def scan_partitions(spark: SparkSession) -> int:
+    """The driver's tables are single files, so a scan of their texts deals them out into so many partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

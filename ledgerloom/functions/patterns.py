@@ -15,25 +15,28 @@ EXEMPT = (
     r"^\p{Nd}{4}-\p{Nd}{2}-\p{Nd}{2}T\p{Nd}{2}:\p{Nd}{2}:\p{Nd}{2}(?:\.\p{Nd}+)?Z\z",
 )
 
+# Every control or bidirectional character is outside this class.
+ORDINARY = r"[^\t\n\r -~]"
 CONTROL_OR_BIDI = (
     r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f\u200b-\u200f\u202a-\u202e\u2060\u2066-\u2069\ufeff]"
 )
 
 # Each scan pattern stands beside the literals of which its text must hold at least one; the literal
-# test is far cheaper than the expression, and no literal depends on letter case.
+# test is far cheaper than the expression, and no literal depends on letter case. Where no such literal is known, a third
+# entry has words of which the text must hold one once its letter case is folded.
 SECRETS = (
     (("-----",), rf"{I}-----BEGIN (?:[A-Z0-9 ]+ )?PRIVATE KEY-----"),
     (("_",), rf"(?<!{W})(?:gh[pousr]_[A-Za-z0-9]{{20,}}|github_pat_[A-Za-z0-9_]{{20,}})(?!{W})"),
     (("AKIA",), rf"(?<!{W})AKIA[0-9A-Z]{{16}}(?!{W})"),
-    ((), rf"{I}(?<!{W})Bearer[{S}]+[A-Za-z0-9._~+/=-]{{10,}}{B}"),
+    ((), rf"{I}(?<!{W})Bearer[{S}]+[A-Za-z0-9._~+/=-]{{10,}}{B}", ("bearer",)),
     (("eyJ",), rf"(?<!{W})eyJ[A-Za-z0-9_-]{{4,}}\.[A-Za-z0-9_-]{{4,}}\.[A-Za-z0-9_-]{{4,}}{B}"),
-    ((":", "="), rf"{I}(?<!{W})(?:password|passwd|secret|token|client_secret)[{S}]*[:=][{S}]*[^{S}]"),
+    ((":", "="), rf"{I}(?<!{W})(?:password|passwd|secret|token|client_secret)[{S}]*[:=][{S}]*[^{S}]", ("passw", "secret", "token")),
     (("://",), rf"{I}[a-z][a-z0-9+.-]*://[^{S}/:@]+:[^{S}/@]+@"),
 )
 LOCATORS = (
     (("@",), rf"{I}git@"),
     (("://",), rf"{I}ssh://"),
-    ((), rf"{I}(?:^|/)\.git(?:/|{END})"),
+    ((), rf"{I}(?:^|/)\.git(?:/|{END})", (".git",)),
 )
 PATHS = (
     ((":\\",), rf"{I}(?:^|[{S}])[A-Za-z]:\\(?:Users|Windows|ProgramData|private|home)\\"),
@@ -48,12 +51,15 @@ NINE_DIGITS = r"\p{Nd}(?:[ .-]?\p{Nd}){8}"
 ACCOUNT = rf"{I}(?<![0-9a-f])\p{{Nd}}{{12}}(?![0-9a-f])"
 EMAIL = ("@",), r"(?<![\p{L}\p{N}_.+-])[\p{L}\p{N}_.+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}(?![\p{L}\p{N}_.-])"
 PHONE = r"(?<!\p{Nd})(?:\+\p{Nd}{1,3}[ .-]?)?(?:\p{Nd}[ .-]?){9,14}(?!\p{Nd})"
-STRUCTURED_ID = ("-", "_"), rf"{I}(?<!{W})(?:account|customer|cust|project|subscription|tenant)[-_][A-Za-z0-9]{{4,}}(?!{W})"
+STRUCTURED_ID = ("-", "_"), rf"{I}(?<!{W})(?:account|customer|cust|project|subscription|tenant)[-_][A-Za-z0-9]{{4,}}(?!{W})", (
+    "account", "cust", "project", "subscription", "tenant",
+)
 
 VULNERABILITY = (
     rf"{I}(?:exploit[{S}]+(?:code|command)|reproduction[{S}]+command"
     rf"|vulnerable[{S}]+private[{S}]+endpoint|attack[{S}]+prerequisite)"
 )
+VULNERABILITY_WORDS = ("exploit", "reproduction", "vulnerable", "attack")
 
 HOST_STRIP = "[](){}<>,.;'\" "
 HOST_TOKEN = r"\[?[0-9a-fA-F:.]+\]?|[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++|localhost"

@@ -6,6 +6,7 @@ import ipaddress
 import re
 import unicodedata
 from collections.abc import Callable, Iterable, Sequence
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -29,9 +30,60 @@ def _nfkc_if_changed(texts: pd.Series) -> pd.Series:
     return texts.map(normalize).astype(object).where(lambda s: s.notna(), None)
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _nfkc_each(texts: pd.Series) -> pd.Series:
+    """For each array, the NFKC form of every text that is not in it already, else NULL."""
+
+    def normalize(text: str | None) -> str | None:
+        if text is None or unicodedata.is_normalized("NFKC", text):
+            return None
+        return unicodedata.normalize("NFKC", text)
+
+    return texts.map(lambda values: None if values is None else [normalize(v) for v in values])
+
+
+@lru_cache(maxsize=1)
+def _nfkc_class() -> str:
+    """An expression for all characters that a text must hold one of for NFKC to change it.
+
+    They are those that it replaces when alone, those that it can reorder (combining ones), and those that it can join to the character
+    before them: the second ones of all pairs that one character stands for, and the vowels and final consonants of Hangul. Java tries
+    the ranges of a class one by one, so they are grouped, each group behind a test of its whole span.
+    """
+    codes = {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}
+    for code in range(0x80, 0x110000):
+        if 0xD800 <= code < 0xE000:
+            continue
+        c = chr(code)
+        if unicodedata.combining(c) or not unicodedata.is_normalized("NFKC", c):
+            codes.add(code)
+        parts = unicodedata.decomposition(c).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            codes.add(int(parts[1], 16))
+    ranges: list[list[int]] = []
+    for code in sorted(codes):
+        if ranges and ranges[-1][1] == code - 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    groups = [ranges[k : k + 24] for k in range(0, len(ranges), 24)]
+    span = lambda a, b: f"\\x{{{a:x}}}-\\x{{{b:x}}}"
+    return "|".join(f"(?=[{span(g[0][0], g[-1][1])}])[{''.join(span(a, b) for a, b in g)}]" for g in groups)
+
+
+def may_change_in_nfkc(text: Column) -> Column:
+    """False only for texts that are in NFKC already; plain letters with accents do not count."""
+    return text.rlike(r"[^\x00-\x7f]") & text.rlike(_nfkc_class())
+
+
+def nfkc_each(texts: Column) -> Column:
+    """For an array of texts, the NFKC form of each where it differs, else NULL; a NULL array costs nothing."""
+    return _nfkc_each(texts)
+
+
 def nfkc_changed(text: Column) -> Column:
-    """NFKC form where it differs from the text, else NULL. ASCII text is not sent to Python."""
-    return _nfkc_if_changed(F.when(text.rlike(r"[^\x00-\x7f]"), text))
+    """NFKC form where it differs from the text, else NULL. Only text that it can change is sent to Python."""
+    return _nfkc_if_changed(F.when(may_change_in_nfkc(text), text))
 
 
 def percent_decoded(text: Column) -> Column:
@@ -50,12 +102,20 @@ def percent_decoded(text: Column) -> Column:
 BASE64_CHARACTERS = (8, 8192)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, so that expressions stay small."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _base64_body(text: Column, characters: tuple[int, int] = BASE64_CHARACTERS) -> Column:
     """The value without outer white space when it is shaped like base64, else NULL."""
     shaped = text.rlike(rf"^[{P.S}]*[A-Za-z0-9+/]+={{0,2}}[{P.S}]*\z")
-    compact = F.regexp_replace(F.when(shaped, text), rf"[{P.S}]+", "")
-    size = F.char_length(compact)
-    return F.when(size.between(*characters) & (size % 4 == 0), compact)
+
+    def of_fitting_size(compact: Column) -> Column:
+        size = F.char_length(compact)
+        return F.when(size.between(*characters) & (size % 4 == 0), compact)
+
+    return F.when(shaped, _let(F.regexp_replace(text, rf"[{P.S}]+", ""), of_fitting_size))
 
 
 def base64_decoded(text: Column, characters: tuple[int, int] = BASE64_CHARACTERS) -> Column:
@@ -66,7 +126,7 @@ def base64_decoded(text: Column, characters: tuple[int, int] = BASE64_CHARACTERS
 
 def may_have_other_forms(text: Column, nfkc: Column, characters: tuple[int, int] = BASE64_CHARACTERS) -> Column:
     """False only when the raw form is the one form of the text."""
-    return nfkc.isNotNull() | text.rlike("%[0-9A-Fa-f]{2}") | _base64_body(text, characters).isNotNull()
+    return nfkc.isNotNull() | (text.contains("%") & text.rlike("%[0-9A-Fa-f]{2}")) | _base64_body(text, characters).isNotNull()
 
 
 def decoded_forms(text: Column, nfkc: Column, characters: tuple[int, int] = BASE64_CHARACTERS) -> Column:
@@ -78,11 +138,6 @@ def decoded_forms(text: Column, nfkc: Column, characters: tuple[int, int] = BASE
     return F.array_distinct(F.array_compact(F.array(text, nfkc, percent, base64_decoded(text, characters))))
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once, so that expressions stay small."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _ipv4_hex(address: Column) -> Column:
     """Eight hexadecimal digits of a dotted quad."""
     return F.array_join(F.transform(F.split(address, r"\."), lambda octet: F.lpad(F.lower(F.hex(octet.try_cast("int"))), 2, "0")), "")
@@ -173,7 +228,7 @@ def _url_host(text: Column) -> Column:
 
 def may_hold_flagged_host(text: Column) -> Column:
     """False only when no token of the text can be a non-public host."""
-    return _any([*[text.contains(literal) for literal in P.HOST_LITERALS], text.rlike(P.HOST_HINT)])
+    return _any([*[text.contains(literal) for literal in P.HOST_LITERALS], (text.contains(".") | text.contains(":")) & text.rlike(P.HOST_HINT)])
 
 
 def host_tokens(text: Column) -> Column:
@@ -188,21 +243,25 @@ def host_tokens(text: Column) -> Column:
     return F.when(may_hold_flagged_host(text), all_hosts).otherwise(F.array().cast(_NO_TEXTS))
 
 
-def guarded(text: Column, needs: Sequence[str], expression: str) -> Column:
-    """``rlike``, tried only on text that holds one of the literals."""
-    if not needs:
-        return text.rlike(expression)
-    holds = text.contains(needs[0])
-    for literal in needs[1:]:
-        holds = holds | text.contains(literal)
-    return holds & text.rlike(expression)
+def folded_case(text: Column) -> Column:
+    """The text in one letter case: two texts that an expression takes for equal regardless of case are equal in it."""
+    return F.lower(F.upper(text))
+
+
+def guarded(text: Column, needs: Sequence[str], expression: str, caseless: Sequence[str] = (), folded: Column | None = None) -> Column:
+    """``rlike``, tried only on text that holds one of the literals, and whose folded form holds one of the words of ``caseless``."""
+    test = text.rlike(expression)
+    if caseless:
+        low = folded_case(text) if folded is None else folded
+        test = _any(low.contains(word) for word in caseless) & test
+    return _any(text.contains(literal) for literal in needs) & test if needs else test
 
 
 def _any(tests: Iterable[Column]) -> Column:
-    hit = F.lit(False)
+    hit = None
     for test in tests:
-        hit = hit | test
-    return hit
+        hit = test if hit is None else hit | test
+    return F.lit(False) if hit is None else hit
 
 
 def sensitive_class_of_form(text: Column, private_names: Sequence[str] = ()) -> Column:
@@ -210,23 +269,53 @@ def sensitive_class_of_form(text: Column, private_names: Sequence[str] = ()) ->
 
     ``private_names`` are names of private repositories that may not appear.
     """
+    return _let(folded_case(text), lambda folded: _class_of(text, folded, private_names))
+
+
+def _class_of(text: Column, folded: Column, private_names: Sequence[str]) -> Column:
+    def tried(test: Sequence) -> Column:
+        return guarded(text, *test, folded=folded)
+
     named = [text.rlike(P.I + re.escape(name)) for name in private_names]
-    located = [guarded(text, *test) for test in (*P.LOCATORS, *P.PATHS)]
     starts = [text.startswith(start) for start in P.PATH_STARTS]
     digits = text.rlike(P.NINE_DIGITS)
-    personal = guarded(text, *P.EMAIL) | (digits & text.rlike(P.PHONE)) | guarded(text, *P.STRUCTURED_ID)
+    personal = tried(P.EMAIL) | (digits & text.rlike(P.PHONE)) | tried(P.STRUCTURED_ID)
     control, token, locator, host, account, person, detail = P.SENSITIVE_CLASSES
     return (
-        F.when(text.rlike(P.CONTROL_OR_BIDI), control)
-        .when(_any(guarded(text, *test) for test in P.SECRETS), token)
-        .when(_any([*starts, *named, *located]), locator)
+        F.when(text.rlike(P.ORDINARY) & text.rlike(P.CONTROL_OR_BIDI), control)
+        .when(_any(map(tried, P.SECRETS)), token)
+        .when(_any([*starts, *named, *map(tried, (*P.LOCATORS, *P.PATHS))]), locator)
         .when(may_hold_flagged_host(text) & F.exists(host_tokens(text), is_nonpublic_host), host)
         .when(digits & text.rlike(P.ACCOUNT), account)
         .when(personal, person)
-        .when(text.rlike(P.VULNERABILITY), detail)
+        .when(tried(((), P.VULNERABILITY, P.VULNERABILITY_WORDS)), detail)
     )
 
 
 def is_exempt(text: Column) -> Column:
     """A value that is exactly a digest or a UTC time."""
     return _any(text.rlike(expression) for expression in P.EXEMPT)
+
+
+#: What a value may begin, end or consist of where a pattern is bound to the value's ends and so may miss it among other lines.
+_BOUND = ("..", ":\\", "://", *("\n" + start for start in P.PATH_STARTS))
+
+
+def may_hold_sensitive_line(joined: Column) -> Column:
+    """False only if no value has a sensitive class, for values each on its line of ``joined``, which begins with a line end.
+
+    Nearly all patterns find in the whole text what they find in a line of it; those that are bound to a value's ends are
+    replaced by a literal that every value they match holds. The whole is then tried once, instead of every value.
+    """
+
+    def test(text: Column) -> Column:
+        bound = _any(text.contains(literal) for literal in _BOUND)
+        return bound | _let(folded_case(text), lambda folded: folded.contains(".git") | _class_of(text, folded, ()).isNotNull())
+
+    return _let(joined, test)
+
+
+def decodings(text: Column) -> Column:
+    """The percent-decoded and base64-decoded forms of a text that differ from it, as an array; its NFKC form is the caller's."""
+    none = F.lit(None).cast("string")
+    return F.when(may_have_other_forms(text, none), F.slice(decoded_forms(text, none), 2, 2)).otherwise(F.array().cast(_NO_TEXTS))

@@ -10,16 +10,16 @@ of a candidate decides.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.digest import normalize_omissions, normalize_set, row_digest
+from ledgerloom.functions.text import decodings, is_exempt, may_change_in_nfkc, may_hold_sensitive_line, nfkc_each, sensitive_class_of_form
 from ledgerloom.operators import contracts as C
-from ledgerloom.operators.leaves import deepest, flatten_leaves, json_leaves
-from ledgerloom.operators.text_scan import classify_sensitive
+from ledgerloom.operators.leaves import holds_text, json_strings, leaf_array, member_names
 
 # Modes, review slots and their scopes, roles, states, checks and omission rules.
 CANDIDATE_MODE = "export-candidate"
@@ -212,26 +212,57 @@ def apply_omissions(
     return out
 
 
+def text_columns(candidates: DataFrame, key: str) -> list[str]:
+    """The columns of a candidate, but its key, that hold text at any depth."""
+    return [f.name for f in candidates.schema.fields if f.name != key and holds_text(f.dataType)]
+
+
+def _in_column(name: Column) -> Callable[[Column], Column]:
+    return lambda value: F.struct(name.alias("column"), value.alias("value"))
+
+
+def _is_sensitive(leaf: Column) -> Column:
+    return sensitive_class_of_form(leaf["value"]).isNotNull()
+
+
 def scan_candidates(candidates: DataFrame, key: str, *, json: Sequence[str] = (), output: str = "sensitive_columns") -> DataFrame:
     """Adds the columns in which some string leaf, in any decoded form, holds a sensitive value; an empty array if none does.
 
-    Every column but ``key`` is walked, those of ``json`` as texts and as what they hold (one aggregate each finds how deep). Leaves
-    are classified one by one and reduced per candidate; ``key`` is unique.
+    Every column but ``key`` is walked, those of ``json`` as texts and as the strings that they hold at any depth. A row's different
+    leaves are tried all at once; in rows where something may be found, and in other forms, one by one, inside the row, and reduced to
+    the columns they are in: one pass over the candidates, without an exchange, a join or an action. Only leaves that NFKC
+    can change are sent to Python.
     """
-    leaves = flatten_leaves(candidates, [key])
-    for name in json:
-        inside = json_leaves(candidates, [key], name, max(1, deepest(candidates, name)))
-        leaves = leaves.unionByName(inside.select(key, F.lit(f"$.{name}").alias("path"), "value"))
-    found = classify_sensitive(leaves, "value").where(F.col("sensitive_class").isNotNull())
-    column = F.regexp_extract("path", r"^\$\.([^.\[]+)", 1)
-    found = found.groupBy(F.col(key).alias("__key")).agg(F.array_sort(F.collect_set(column)).alias(output))
-    joined = candidates.join(found, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
-    return joined.withColumn(output, F.coalesce(output, F.array().cast("array<string>")))
+    pair = "array<struct<column:string,value:string>>"
+    nothing = F.array().cast(pair)
+    parts = []
+    for name in text_columns(candidates, key):
+        values = F.transform(leaf_array(F.col(f"`{name}`"), candidates.schema[name].dataType, F.lit("")), lambda leaf: leaf["value"])
+        if name in json:
+            values = F.concat(values, json_strings(F.col(f"`{name}`")))
+        parts.append(F.transform(F.filter(values, lambda v: v.isNotNull()), _in_column(F.lit(name))).cast(pair))
+    leaves = F.filter(F.array_distinct(F.concat(nothing, *parts)), lambda p: ~is_exempt(p["value"]))
+    # A generator stands at either end, so that no expression is copied into what comes after it.
+    walked = candidates.select("*", F.explode(F.array(leaves)).alias("__leaves"))
+    walked = walked.withColumn("__changed", F.filter("__leaves", lambda p: may_change_in_nfkc(p["value"])))
+    normal = nfkc_each(F.when(F.size("__changed") > 0, F.transform("__changed", lambda p: p["value"])))
+    paired = F.zip_with("__changed", normal, lambda p, value: F.struct(p["column"].alias("column"), value.alias("value")))
+    walked = walked.withColumn("__normal", F.filter(F.coalesce(paired, nothing), lambda p: p["value"].isNotNull()))
+    decoded = F.flatten(F.transform("__leaves", lambda p: F.transform(decodings(p["value"]), _in_column(p["column"]))))
+    walked = walked.withColumn("__forms", F.concat(decoded.cast(pair), "__normal"))
+    joined = F.concat(F.lit("\n"), F.array_join(F.transform("__leaves", lambda p: p["value"]), "\n"))
+    raw = F.when(may_hold_sensitive_line(joined), F.filter("__leaves", _is_sensitive)).otherwise(nothing)
+    found = F.transform(F.concat(raw, F.filter("__forms", _is_sensitive)), lambda p: p["column"])
+    return walked.select(*[F.col(f"`{c}`") for c in candidates.columns], F.explode(F.array(F.array_sort(F.array_distinct(found)))).alias(output))
 
 
 def sensitive_rules(columns: Sequence[str], scanned: str = "sensitive_columns") -> list[C.Rule]:
-    """No column holds a sensitive value; for rows of :func:`scan_candidates`."""
-    return [C.Rule("sensitive-value", c, F.coalesce(F.array_contains(scanned, c), F.lit(True)), "prohibited public value") for c in columns]
+    """No column holds a sensitive value, for rows of :func:`scan_candidates`: a rule for each of ``columns``, and one for any other column that was found."""
+    other = F.size(F.array_except(F.col(scanned), F.array(*[F.lit(c) for c in columns]).cast("array<string>"))) > 0
+    return [
+        *[C.Rule("sensitive-value", c, F.coalesce(F.array_contains(scanned, c), F.lit(True)), "prohibited public value") for c in columns],
+        C.Rule("sensitive-value", "$", F.coalesce(other, F.lit(True)), "prohibited public value"),
+    ]
 
 
 def path_rules(paths: str, *, code: str = "path-boundary") -> list[C.Rule]:
@@ -246,8 +277,8 @@ def strict_parse_rules(raw: str, *, code: str = "schema") -> list[C.Rule]:
 
 
 def field_name_rules(raw: str, *, code: str = "allowlist") -> list[C.Rule]:
-    """A prohibited member name at any depth of a JSON text, found before each colon, escapes undone by parsing."""
-    names = F.regexp_extract_all(F.lower(F.try_parse_json(F.col(raw)).cast("string")), F.lit(r'"((?:[^"\\]|\\.)*)"\s*:'), F.lit(1))
+    """A prohibited member name at any depth of a JSON text that parses."""
+    names = F.when(F.try_parse_json(F.col(raw)).isNotNull(), member_names(F.col(raw)))
     return [C.Rule(code, "$", F.coalesce(F.arrays_overlap(names, F.array(*[F.lit(n) for n in PROHIBITED_FIELDS])), F.lit(False)), "a prohibited field name is present")]
 
 

@@ -47,7 +47,7 @@ def test_query_equals_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle_but_the_file_listing():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"q_file_inventory"}
+    assert set(driver.QUERIES) - set(driver.ORACLES) == {"q_file_inventory"}
 
 
 def test_entry_and_file_inventory(spark):

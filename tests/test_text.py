@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import ipaddress
+import random
 import unicodedata
 from urllib.parse import unquote
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import text as X
 from ledgerloom.operators import leaves as L
 from ledgerloom.operators import text_scan as T
+from ledgerloom.plans import export as E
 
 TOKEN, LOCATOR, HOST = "private-key-or-token", "private-repository-locator", "internal-host-or-address"
 ACCOUNT, PERSON, DETAIL, CONTROL = (
@@ -170,3 +172,80 @@ def test_json_leaves_keep_deep_text(spark):
     assert shallow == {("$.a", '{"b":[{"c":"x"},"y"]}'), ("$.s", "z")}
     typed = spark.createDataFrame([(1, ("s", None))], "id int, r struct<Token:string,email:string>")
     assert [(r.path, r.name) for r in L.forbidden_columns(typed, ["id"], ["token", "email"]).collect()] == [("$.r.Token", "token")]
+
+
+def test_long_strings_and_deep_or_malformed_json_end(spark):
+    """Strings of a megabyte, with and without escapes; very many brackets that do not parse; a value of 900 levels."""
+    plain, escaped = "x" * (1 << 20), '\\"\\\\' * (1 << 18)
+    deep = '{"a":' * 450 + "[" * 450 + '"leaf"' + "]" * 450 + "}" * 450
+    rows = [(1, f'{{"s": "{plain}", "token": 1}}'), (2, f'{{"s": "{escaped}", "e": ["token"]}}'), (3, "[" * 100_000), (4, deep), (5, '{"q": "' + "y" * 100_000), (6, None), (7, "")]
+    df = spark.createDataFrame(rows, "id int, raw string")
+    assert {r.id: r.d for r in df.select("id", L.json_depth(F.col("raw")).alias("d")).collect()} == {1: 1, 2: 2, 3: 100_000, 4: 900, 5: 1, 6: 0, 7: 0}
+    assert L.deepest(df, "raw") == 900 and L.deepest(df.where("id <> 4"), "raw") == 2
+    assert [(r.id, r.name) for r in L.forbidden_names(df, ["id"], "raw", ["token"]).collect()] == [(1, "token")]
+    leaves = {(r.id, r.path): r.value for r in L.json_leaves(df, ["id"], "raw").collect()}
+    path = "$" + ".a" * 450 + "[0]" * 450
+    assert leaves.keys() == {(1, "$.s"), (2, "$.s"), (2, "$.e[0]"), (4, path)}
+    assert leaves[1, "$.s"] == plain and leaves[2, "$.s"] == '"\\' * (1 << 18) and leaves[4, path] == "leaf"
+    strings = {r.id: r.s for r in df.select("id", L.json_strings(F.col("raw")).alias("s")).collect()}
+    assert strings[1] == [plain] and strings[2] == ['"\\' * (1 << 18), "token"] and strings[4] == ["leaf"] and strings[6] == [] and strings[7] == []
+    found = df.select("id", E.field_name_rules("raw")[0].bad.alias("bad")).collect()
+    assert {r.id for r in found if r.bad} == {1}
+
+
+def test_deep_json_is_walked_as_shallow_json_is_opened(spark, monkeypatch):
+    rows = [(i, "[" * i + '{"k": ["v", {"n": ' + ("1.50", "true", "null", "-3", "2.25", "12345678901234567890")[i] + "}]}" + "]" * i) for i in range(6)] + [(9, '"scalar"'), (10, "{}")]
+    df = spark.createDataFrame(rows, "id int, raw string")
+    columns = ("id", "path", "name", "kind", "value")
+    whole = {tuple(r[c] for c in columns) for r in L.json_nodes(df, ["id"], "raw").collect()}
+    monkeypatch.setattr(L, "LEVELS", 2)
+    assert {tuple(r[c] for c in columns) for r in L.json_nodes(df, ["id"], "raw").collect()} == whole
+    variants = df.select("id", F.parse_json("raw").alias("v"))
+    assert {tuple(r[c] for c in columns) for r in L.json_nodes(variants, ["id"], "v").collect()} == whole
+    assert len(whole) == sum(i + 4 for i in range(6))
+
+
+def test_nfkc_is_tried_where_it_can_change_something(spark):
+    """Every character alone, and random ones after another, against Python's own function."""
+    rng = random.Random(4)
+    alone = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000 and not unicodedata.is_normalized("NFKC", chr(c))]
+    second = [chr(rng.randrange(0x80, 0x3100)) for _ in range(4000)] + [chr(rng.randrange(0x1100, 0x1200)) for _ in range(2000)]
+    pairs = [a + b for a in "aeoAcnüは각가ᄀ" for b in second] + [c + d for c, d in zip(second, reversed(second))]
+    texts = sorted({*alone, *pairs})
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    flags = {r.t: r.x for r in df.select("t", X.may_change_in_nfkc(F.col("t")).alias("x")).collect()}
+    assert all(flags[t] for t in texts if not unicodedata.is_normalized("NFKC", t))
+    plain = "Où ça? Übergröße, señor — naïve “quotes” 東京 привет"
+    assert spark.range(1).select(X.may_change_in_nfkc(F.lit(plain)).alias("x")).first().x is False
+
+
+def test_scan_candidates_finds_every_column_and_form(spark):
+    rows = [
+        (1, "fine", ["a", "b"], '{"k": ["v", {"deep": "/home/x"}]}'), (2, "/home/a", [], "{}"), (3, "x", [base64.b64encode(b"password: hunter2").decode()], None),
+        (4, "%2Fhome%2Fuser", None, "not json"), (5, "／home／user", ["über"], '{"a": "／root／x"}'), (6, None, [None], '{"/home/name": 1}'),
+    ]
+    df = spark.createDataFrame(rows, "id int, note string, tags array<string>, raw string")
+    scanned = E.scan_candidates(df, "id", json=["raw"])
+    assert scanned.columns == ["id", "note", "tags", "raw", "sensitive_columns"]
+    assert {r.id: r.sensitive_columns for r in scanned.collect()} == {1: ["raw"], 2: ["note"], 3: ["tags"], 4: ["note"], 5: ["note", "raw"], 6: []}
+    plan = scanned._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    # A column that the scan found but no rule names is a failure all the same.
+    rules = E.sensitive_rules(["note"])
+    bad = scanned.select("id", *[r.bad.alias(r.field) for r in rules]).collect()
+    assert {r.id for r in bad if r["note"]} == {2, 4, 5} and {r.id for r in bad if r["$"]} == {1, 3, 5}
+
+
+def test_a_scan_of_all_leaves_at_once_finds_what_each_has(spark):
+    """Every case of the class tests as one leaf among others, first, between and last, alone and many in a row."""
+    values = [*CASES, *(f"{v}\n" for v in CASES), "plain", "2026-01-01T00:00:00Z", ".git", "a/.git", "C:\\x", "..", "a\\..", "~/x", "x ~/x", "/x", "http://10.0.0.1/", "cust-abcd", "ſecret: x"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v string")
+    hit = {r.id: r.c is not None for r in df.select("id", F.when(~X.is_exempt(F.col("v")), X.sensitive_class_of_form(F.col("v"))).alias("c")).collect()}
+    rows = [(i, ["first", v], [v, "last"], v) for i, v in enumerate(values)]
+    rows += [(1000, values, [], None), (1001, ["plain", "order of priority"], ["x"], "y")]
+    scanned = E.scan_candidates(spark.createDataFrame(rows, "id int, a array<string>, b array<string>, c string"), "id").collect()
+    found = {r.id: r.sensitive_columns for r in scanned}
+    for i, v in enumerate(values):
+        if hit[i]:
+            assert found[i] == ["a", "b", "c"], v
+    assert found[1000] == ["a"] and found[1001] == []
