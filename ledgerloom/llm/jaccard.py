@@ -187,13 +187,14 @@ def multiply(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.
     owner, column = owner[shared], number[column[shared]]
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    counts = np.zeros((len(left), len(right)), dtype=np.float32)
+    counts = np.zeros((len(left), len(right)), dtype=np.int64)
     for low in range(0, int(number[-1]) + 1, _COLUMNS):
         a, b = np.searchsorted(column, [low, low + _COLUMNS])
         part = np.zeros((len(sets), _COLUMNS), dtype=np.float32)
         part[owner[a:b], column[a:b] - low] = 1
-        counts += part[left] @ part[right].T
-    return counts.astype(np.int64)
+        # A block's sums are at most its columns, which 32-bit floats hold exactly; sets of any size are summed as integers.
+        counts += (part[left] @ part[right].T).astype(np.int64)
+    return counts
 
 
 def tile_links(ids: list, copies: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, object, int]]:

@@ -17,13 +17,16 @@ _unpack = zstandard.ZstdDecompressor()
 
 
 def pack_numbers(values: np.ndarray) -> bytes:
-    """Unsigned 32-bit numbers, byte by byte, compressed."""
-    return _pack.compress(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+    """Numbers from 0 to 2^63 - 1, byte by byte, compressed: four bytes each where the largest needs no more, else eight."""
+    wide = len(values) > 0 and int(values.max()) >> 32 > 0
+    kind, size = ("<u8", 8) if wide else ("<u4", 4)
+    return bytes([size]) + _pack.compress(values.astype(kind).view(np.uint8).reshape(-1, size).T.tobytes())
 
 
 def unpack_numbers(body: bytes) -> np.ndarray:
-    raw = np.frombuffer(_unpack.decompress(body), dtype=np.uint8)
-    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").reshape(-1)
+    size = body[0]
+    raw = np.frombuffer(_unpack.decompress(memoryview(body)[1:]), dtype=np.uint8)
+    return np.ascontiguousarray(raw.reshape(size, -1).T).view("<u8" if size == 8 else "<u4").reshape(-1)
 
 
 def pack_keys(keys: np.ndarray) -> bytes:

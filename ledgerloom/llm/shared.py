@@ -2,27 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.stages import cut, shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Where the session names none (a local session, as in tests) a temporary folder is set, and removed at exit.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="checkpoints-")
-        atexit.register(shutil.rmtree, named, ignore_errors=True)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(named)
-    return spark.conf.get("spark.checkpoint.dir", None) or named
+__all__ = ["cut", "partitions", "shared_dir", "whole_row", "written"]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -33,12 +20,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder; Spark removes it once nothing refers to it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def partitions(spark: SparkSession) -> int:
     """Shuffle partitions of the session: the caller's statement of how much data there is."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -10,10 +10,12 @@ import zlib
 from collections import Counter, defaultdict
 from functools import lru_cache
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import conversation_repair as op11
+from ledgerloom.llm import messages
 from ledgerloom.llm import queries as Q
 from ledgerloom.llm import secrets as op13
 from ledgerloom.llm import spelling as op12
@@ -186,8 +188,6 @@ def test_one_edit():
     rng = random.Random(3)
     words = sorted({"".join(rng.choice("abé") for _ in range(rng.randint(1, 6))) for _ in range(200)} | {"a" * 40, "a" * 41, "a" * 39 + "b"})
     pairs = [(i, j) for i in range(len(words)) for j in range(i)]
-    import numpy as np
-
     found = op12._one_edit(words, np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs]))
     for (i, j), hit in zip(pairs, found, strict=True):
         assert hit == op12.one_edit(words[i], words[j]) == (distance(words[i], words[j]) == 1), (words[i], words[j])
@@ -308,3 +308,38 @@ def test_secret_query(spark):
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[1] == k for s in spans) for k in range(3))
         assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
         assert [s for s in r.spans.split(",") if s and not s.startswith("generic")] == [s for s in listed.split(",") if s]
+
+
+# Messages and the contracts of the numbered queries
+
+
+@pytest.mark.parametrize("values", [[], [0], [1, (1 << 32) - 1], [(1 << 32) + 7, 3, 1 << 33], [(1 << 63) - 1, 0]])
+def test_numbers_of_any_size_survive_a_message(values):
+    numbers = np.array(values, dtype=np.int64)
+    assert messages.unpack_numbers(messages.pack_numbers(numbers)).astype(np.int64).tolist() == values
+
+
+CONTRACTS = {
+    "op1_toxicity": ["doc_id", "held_out", "score", "predicted"], "op2_quality_classifier": ["doc_id", "held_out", "score", "predicted"],
+    "op4_best_fit_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"], "op5_token_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
+    "op9_lm_scoring": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"], "op10_language_id": ["doc_id", "held_out", "lang_pred", "score"],
+}
+TYPES = {"held_out": "boolean", "over_limit": "boolean", "score": "double", "base_score": "double", "predicted": "int", "piece": "int", "lang_pred": "string"}
+PARTS = {"op1_toxicity": (4, 2), "op2_quality_classifier": (5, 0), "op9_lm_scoring": (5, 1), "op10_language_id": (3, 1)}
+
+
+@pytest.mark.parametrize("name", sorted(CONTRACTS))
+def test_query_contracts(spark, name):
+    """The columns, their types, every document once, and which documents are held out."""
+    result = Q.QUERIES[name](spark, SF)
+    types = dict(result.dtypes)
+    assert set(CONTRACTS[name]) <= set(types)
+    assert all(types[c] == TYPES.get(c, "bigint") for c in CONTRACTS[name]), types
+    rows = result.collect()
+    ids = [r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    assert sorted({r.doc_id for r in rows}) == sorted(ids) and (name.startswith("op4") or len(rows) == len(ids))
+    if name in PARTS:
+        n, rest = PARTS[name]
+        assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % n == rest) for r in rows)
+    if "predicted" in types:
+        assert all(r.predicted == (r.score >= 0.3) and 0 <= r.score <= 1 for r in rows)
