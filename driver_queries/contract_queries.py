@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from driver_queries.registry import query, table
 from ledgerloom.operators import contracts as C
 from ledgerloom.operators import leaves as L
-from ledgerloom.operators.findings import finding_counts, finding_summary, order_findings
+from ledgerloom.operators.findings import finding_counts, finding_positions, finding_summary, order_findings
 from ledgerloom.plans import export as E
 from ledgerloom.sources.inventory import file_inventory
 from ledgerloom.sources.records import parse_json_column
@@ -454,3 +454,14 @@ def q_finding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_order_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O1: findings in report order."""
     return order_findings(_line_findings(spark, sf_dir).select("severity", "code", "path", "message", "key"))
+
+
+@query(
+    f"""
+    SELECT path, code, row_number() OVER (ORDER BY severity <> 'error', path NULLS FIRST, code NULLS FIRST, message NULLS FIRST, key NULLS FIRST) AS position
+    FROM ({_LINE_FINDINGS_SQL})
+    """
+)
+def q_finding_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: every finding's place in the report, over all findings."""
+    return finding_positions(_line_findings(spark, sf_dir)).select("path", "code", "position")

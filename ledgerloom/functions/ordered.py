@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.functions.stages import cut
+
 AUTO = "auto"
 _CHUNK, _START, _ROW, _COUNT = "__chunk", "__start", "__row", "__count"
 
@@ -167,3 +169,21 @@ def _chunk_starts(base: DataFrame, keys: list[str], order: list[str], lag: Mappi
         starts.append(F.max(name).over(earlier).alias(name))
     found = ends.select(*keys, _CHUNK, F.struct(*starts).alias(_START))
     return found.where(F.col(_START)[_COUNT].isNotNull())
+
+
+def positioned(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
+    """``df`` with each row's 1-based place in a global order; no task sees more than its range of the order.
+
+    Rows are exchanged by range and sorted there; the numbers of rows per range, one short row for each, give where every range
+    begins. The sorted rows are checkpointed, for a range must be the same in both uses. Rows equal in ``order`` get places in
+    any order among themselves.
+    """
+    sort = [o.asc_nulls_first() for o in order]
+    ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort).withColumn("__at", F.monotonically_increasing_id())
+    ranged = cut(ranged)
+    part, place = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = ranged.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(F.lit(1)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("__part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__start"))
+    joined = ranged.withColumn("__part", part).join(F.broadcast(starts), "__part")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__start") + place + 1).alias(name))

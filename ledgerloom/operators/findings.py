@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+
+from ledgerloom.functions.ordered import positioned
 from pyspark.sql import types as T
 
 # Finding severities in report order.
@@ -41,10 +43,25 @@ def order_findings(findings: DataFrame) -> DataFrame:
     return findings.orderBy(F.col("severity") != "error", "path", "code", "message")
 
 
+def finding_positions(findings: DataFrame) -> DataFrame:
+    """Findings with their 1-based ``position`` in report order (errors first, then path, code, message and key), without a single-task window."""
+    return positioned(findings, [F.col("severity") != "error", *[F.col(c) for c in ("path", "code", "message", "key")]])
+
+
+def observed_summary(findings: DataFrame) -> tuple[DataFrame, Observation]:
+    """The findings, and an observation that holds the columns of :func:`finding_summary` once they have been written: no second job, no second scan."""
+    seen = Observation()
+    return findings.observe(seen, *_summary(), (F.count_if(F.col("severity") == SEVERITIES[0]) > 0).alias("failed")), seen
+
+
+def _summary() -> list[Column]:
+    counts = [F.count_if(F.col("severity") == s).alias(f"{s}s" if s != "info" else s) for s in SEVERITIES]
+    return [*counts, F.count(F.lit(1)).alias("findings")]
+
+
 def finding_summary(findings: DataFrame) -> DataFrame:
     """One row: findings per severity (zero-filled), their total, and whether the run fails."""
-    counts = [F.count_if(F.col("severity") == s).alias(f"{s}s" if s != "info" else s) for s in SEVERITIES]
-    return findings.agg(*counts, F.count(F.lit(1)).alias("findings")).withColumn("failed", F.col("errors") > 0)
+    return findings.agg(*_summary()).withColumn("failed", F.col("errors") > 0)
 
 
 def finding_counts(findings: DataFrame) -> DataFrame:

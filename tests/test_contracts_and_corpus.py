@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import contracts as C
-from ledgerloom.operators.findings import finding_summary, order_findings, union_findings
+from ledgerloom.operators.findings import finding_positions, finding_summary, observed_summary, order_findings, union_findings
 from ledgerloom.plans.corpus import RECORD_SCHEMA, contract_findings, reference_findings, validate_corpus
 from ledgerloom.sources.sinks import write_findings, write_summary
 
@@ -229,3 +229,15 @@ def test_row_contracts_work_on_a_stream(spark, tmp_path):
     query = found.writeStream.format("memory").queryName("found").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     query.awaitTermination(60)
     assert {r.key for r in spark.table("found").collect()} == {"2", "3"}
+
+
+def test_positions_and_observed_summary(spark, tmp_path):
+    rows = [(["error", "warning", "info"][i % 3], f"c{i % 7}", None if i % 11 == 0 else f"p{i % 50:02d}", "m", str(i)) for i in range(900)]
+    df = spark.createDataFrame(rows, "severity string, code string, path string, message string, key string").repartition(5)
+    placed = {r.key: r.position for r in finding_positions(df).collect()}
+    order = sorted(rows, key=lambda r: (r[0] != "error", r[2] is not None, r[2] or "", r[1], r[3], r[4]))
+    assert placed == {r[4]: i for i, r in enumerate(order, start=1)}
+    assert finding_positions(df.limit(0)).count() == 0
+    watched, seen = observed_summary(df)
+    watched.write.parquet(str(tmp_path / "findings"))
+    assert seen.get == finding_summary(df).first().asDict()
