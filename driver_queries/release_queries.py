@@ -149,3 +149,68 @@ def q_verification_result(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_custkey", "release_state", "n_not_supported", "overall", "exit_class"
     )
     return R.verification_result(classified, failures, "o_custkey")
+
+
+@query(
+    """
+    WITH c AS (
+      SELECT l_orderkey, bool_or(l_returnflag = 'A' AND l_quantity > 49) AS refused, bool_or(l_returnflag = 'N' AND l_quantity > 48) AS open FROM lineitem GROUP BY l_orderkey),
+    f AS (
+      SELECT *, CASE WHEN o_totalprice > 480000 THEN 'incomplete-bundle:path-missing' WHEN o_totalprice > 470000 THEN 'incomplete-bundle:digest-mismatch'
+          WHEN o_custkey % 50 = 0 THEN 'untrusted-key:key-unknown' WHEN o_totalprice < 10000 THEN 'invalid-signature:release-signature-invalid'
+          WHEN o_totalprice < 20000 THEN 'invalid-report-linkage:static-report-linkage-invalid' WHEN o_orderstatus = 'P' THEN 'invalid-structure:status-chain-missing'
+          WHEN o_orderpriority = '1-URGENT' AND o_totalprice < 60000 THEN 'invalid-structure:release-status-binding'
+          WHEN o_orderpriority = '3-MEDIUM' AND o_totalprice > 400000 THEN 'invalid-structure:status-chain-revision-binding' END AS failure
+      FROM orders LEFT JOIN c ON l_orderkey = o_orderkey),
+    k AS (
+      SELECT *, CASE WHEN failure IS NOT NULL THEN split_part(failure, ':', 1) WHEN o_totalprice BETWEEN 300000 AND 310000 THEN 'revoked-key'
+          WHEN TIMESTAMP '1998-06-01' < o_orderdate OR TIMESTAMP '1998-06-01' > o_orderdate + INTERVAL 1000 DAY THEN 'expired-release'
+          WHEN o_orderpriority = '2-HIGH' THEN 'withdrawn-release' WHEN refused THEN 'claims-not-supported' WHEN open THEN 'not-evaluated'
+          ELSE 'verified-fixture-with-limitations' END AS overall FROM f)
+    SELECT CAST(o_orderkey AS VARCHAR) AS release_id, overall, CASE WHEN failure IS NOT NULL THEN split_part(failure, ':', 2) END AS reason,
+           CASE WHEN overall IN ('revoked-key', 'untrusted-key') THEN 3 WHEN overall LIKE '%-release' THEN 4 WHEN overall IN ('claims-not-supported', 'not-evaluated') THEN 5
+                WHEN overall LIKE 'verified%' THEN 0 ELSE 1 END AS exit_class
+    FROM k
+    """
+)
+def q_verify_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as releases, verified end to end: files, key, signature, linkage, status chain with one entry a revision, lifecycle and claims."""
+    orders = table(spark, sf_dir, "orders").withColumn("release_id", F.col("o_orderkey").cast("string"))
+    price, priority = F.col("o_totalprice"), F.col("o_orderpriority")
+    releases = orders.select(
+        "release_id", F.lit("b").alias("bundle_digest"), F.when(F.col("o_custkey") % 50 == 0, "lost").otherwise("k").alias("key_id"), (price >= 10000).alias("signature_valid"),
+        (price >= 20000).alias("linkage_valid"), F.col("o_orderdate").cast("timestamp").alias("valid_from"), F.expr("o_orderdate + interval 1000 days").cast("timestamp").alias("valid_until"),
+    )
+
+    def files(changed: Column) -> DataFrame:
+        pair = F.array(*[F.struct(F.lit(n).alias("path"), F.when(changed & (F.lit(n) == "main"), "other").otherwise("d").alias("digest")) for n in ("main", "notes")])
+        return orders.select("release_id", price.alias("price"), F.explode(pair).alias("f")).select("release_id", "f.path", "f.digest", F.lit(1).cast("long").alias("size"), "price")
+
+    declared = files(F.lit(False)).drop("price")
+    actual = files(price.between(470000.001, 480000)).where((F.col("path") == "main") | (F.col("price") <= 480000)).drop("price")
+    keys = table(spark, sf_dir, "region").where("r_regionkey = 0").select(
+        F.lit("k").alias("key_id"), F.lit("release-signing").alias("usage"), F.lit("active").alias("status"), F.expr("timestamp '1990-01-01'").alias("valid_from"), F.expr("timestamp '2030-01-01'").alias("valid_until")
+    )
+
+    def entry(revision: int, digest: str, previous: Column) -> Column:
+        withdrawn = priority == "2-HIGH"
+        none = F.lit(None).cast("string")
+        revoked = price.between(300000, 310000)
+        return F.struct(
+            F.lit(revision).alias("position"), F.lit(revision).alias("revision"), F.concat(F.lit(digest), F.col("release_id")).alias("status_set_digest"), previous.alias("previous_digest"),
+            F.expr(f"timestamp '1997-01-0{revision}'").alias("generated_at"), F.when(revoked, "revoked").otherwise("active").alias("key_status"), revoked.alias("compromise_indicator"),
+            F.lit("b").alias("bundle_digest"), F.when(withdrawn, "withdrawn").otherwise("active").alias("state"), none.alias("replacement_release_id"),
+            none.alias("replacement_bundle_digest"), F.when(withdrawn, "notice").alias("notice_digest"), F.expr("timestamp '1990-01-01'").alias("effective_at"),
+        )
+
+    none = F.lit(None).cast("string")
+    second = F.when(price > 400000, "other").otherwise(F.concat(F.lit("one-"), F.col("release_id")))
+    entries = F.array_compact(F.array(
+        F.when(F.col("o_orderstatus") != "P", entry(1, "one-", none)), F.when((F.col("o_orderstatus") != "P") & (priority == "1-URGENT") & (price < 60000), entry(1, "two-", none)),
+        F.when((F.col("o_orderstatus") != "P") & (priority == "3-MEDIUM"), entry(2, "next-", second)),
+    ))
+    chain = orders.select("release_id", F.explode(entries).alias("e")).select("release_id", "e.*")
+    flag, quantity = F.col("l_returnflag"), F.col("l_quantity")
+    result = F.when((flag == "A") & (quantity > 49), "not-supported").when((flag == "N") & (quantity > 48), "not-evaluated").otherwise("supported")
+    claims = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("release_id"), result.alias("result"))
+    return R.verify_releases(releases, declared, actual, keys, chain, claims, F.expr(_AT)).select("release_id", "overall", "reason", "exit_class")

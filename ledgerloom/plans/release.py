@@ -141,18 +141,19 @@ def verification_result(classified: DataFrame, failures: DataFrame, release: str
 def chain_failures(chain: DataFrame, at: Column, release: str = "release_id") -> DataFrame:
     """(release, stage, status, reason) for every broken rule of the releases' status chains.
 
-    ``chain``: one row per release and revision with ``position`` (stored order), ``revision``,
+    ``chain``: one row per release and revision (a second one is ``release-status-binding``) with ``position`` (stored order), ``revision``,
     ``status_set_digest``, ``previous_digest``, ``generated_at``, ``key_status``,
     ``compromise_indicator`` and the columns of :func:`release_entry_rules`.
     """
-    key, order = [release], ["position"]
+    key, order = [release], ["position", "status_set_digest"]
     # All look-backs share one pass along the chain.
     revoked, ended = F.col("key_status") == "revoked", F.col("state") != "active"
     linked = with_history(
-        chain, key, order, lag={"__before": F.col("status_set_digest")}, last_valid={"__last": F.col("generated_at")},
+        chain, key, order, lag={"__before": F.col("status_set_digest"), "__same": F.col("position")}, last_valid={"__last": F.col("generated_at")},
         seen={"__revoked": revoked, "__ended": ended}, position="__place",
     )
     steps = F.array_compact(F.array(
+        F.when(F.col("position") == F.col("__same"), "release-status-binding"),
         F.when(~F.col("revision").eqNullSafe(F.col("__place")), "status-chain-revision-sequence"),
         F.when(~F.col("previous_digest").eqNullSafe(F.col("__before")), "status-chain-revision-binding"),
         F.when(F.col("generated_at") <= F.col("__last"), "status-chain-revision-order"),
