@@ -99,13 +99,16 @@ def _candidates(spark: SparkSession, sf_dir: str, partitions: int | None = None)
         F.when(price > 250000, "pass").otherwise("fail").alias("status"), F.when(price > 260000, "pass").otherwise("fail").alias("original_status"),
         lifecycle.alias("lifecycle"), lifecycle.alias("original_lifecycle"), history.alias("lifecycle_history"), event.alias("event"),
         reviews.alias("reviews"), F.struct(*[(price.between(60000, 61000 + 1000 * i)).alias(n) for i, n in enumerate(_FLAGS)]).alias("sensitivity"),
-        F.array("o_orderstatus", "o_orderpriority").alias("public_artifacts"),
+        F.array(F.when(price.between(119000, 120000) & (priority != "1-URGENT"), "../escape").otherwise(F.col("o_orderstatus")), "o_orderpriority").alias("public_artifacts"),
         omissions.alias("omissions"), "o_custkey", F.concat(F.lit('{"owner": '), F.col("o_custkey").cast("string"), F.lit("}")).alias("raw"),
         F.when(price.between(110000, 111000), "see /home/ops/run.log").otherwise(F.concat(F.lit("order of priority "), priority)).alias("note"),
         F.when(price.between(112000, 113000), F.lit(None)).otherwise(_record()).alias("bound_record"), "o_orderkey",
-        F.concat(F.lit('{"priority": "'), priority, F.lit('"}')).alias("configuration"), F.when(price > 250000, "pass").otherwise("fail").alias("reviewed_status"),
-        F.lit(_PINNED["profile"]).alias("profile_digest"), F.lit(_PINNED["manifest"]).alias("manifest_digest"),
-    ).withColumn("raw", F.when(F.col("note").startswith("see"), F.col("raw")).when(F.col("o_custkey") % 97 == 0, F.lit('{"owner": 1, "email": "x"}')).otherwise(F.col("raw")))
+        F.concat(F.lit('{"priority": "'), priority, F.when(price.between(115000, 116000), '", "more": 1}').otherwise('"}')).alias("configuration"),
+        F.when(price.between(121000, 122000), "unreviewed").when(price > 250000, "pass").otherwise("fail").alias("reviewed_status"),
+        F.when(price.between(123000, 124000), "sha256:old").otherwise(_PINNED["profile"]).alias("profile_digest"),
+        F.when(price.between(125000, 126000), "sha256:old").otherwise(_PINNED["manifest"]).alias("manifest_digest"), price.alias("price"),
+    ).withColumn("raw", F.when(F.col("price").between(113001, 114000), F.lit('{"owner": ')).when(F.col("price").between(117000, 118000), F.concat(F.lit('{"owner": "'), F.repeat(F.lit("long "), 60), F.lit('"}')))
+        .when(F.col("note").startswith("see"), F.col("raw")).when(F.col("o_custkey") % 97 == 0, F.lit('{"owner": 1, "email": "x"}')).otherwise(F.col("raw"))).drop("price")
 
 
 def _review_rules() -> list[C.Rule]:
@@ -329,6 +332,12 @@ _FAILURES_SQL = f"""
     SELECT o_orderkey, 1 AS stage, CASE WHEN o_orderpriority <> '5-LOW' THEN 'lifecycle-not-validated' ELSE 'lifecycle-limit' END AS code,
            'evidence.lifecycle' AS field FROM orders WHERE o_orderstatus = 'P' OR o_orderpriority = '5-LOW'
     UNION ALL SELECT o_orderkey, 4, 'allowlist', '$' FROM orders WHERE o_custkey % 97 = 0 AND o_totalprice NOT BETWEEN 110000 AND 111000
+    UNION ALL SELECT o_orderkey, 3, 'schema', 'raw' FROM orders WHERE o_totalprice BETWEEN 113001 AND 114000 OR o_totalprice BETWEEN 117000 AND 118000
+    UNION ALL SELECT o_orderkey, 3, 'schema', '$' FROM orders WHERE o_totalprice BETWEEN 115000 AND 116000
+    UNION ALL SELECT o_orderkey, 5, 'path-boundary', 'public_artifacts' FROM orders WHERE o_totalprice BETWEEN 119000 AND 120000 AND o_orderpriority <> '1-URGENT'
+    UNION ALL SELECT o_orderkey, 6, 'digest-binding', 'profile_digest' FROM orders WHERE o_totalprice BETWEEN 123000 AND 124000
+    UNION ALL SELECT o_orderkey, 6, 'digest-binding', 'manifest_digest' FROM orders WHERE o_totalprice BETWEEN 125000 AND 126000
+    UNION ALL SELECT o_orderkey, 8, 'review-status-parity', 'reviewed_status' FROM orders WHERE o_totalprice BETWEEN 121000 AND 122000
     UNION ALL SELECT o_orderkey, 6, 'digest-binding', 'bound_record' FROM orders WHERE o_totalprice BETWEEN 112000 AND 113000
     UNION ALL SELECT o_orderkey, 7, 'sensitive-value', 'note' FROM orders WHERE o_totalprice BETWEEN 110000 AND 111000
     UNION ALL SELECT o_orderkey, 8, code, field FROM ({_REVIEW_SQL})

@@ -242,8 +242,7 @@ def scan_candidates(candidates: DataFrame, key: str, *, json: Sequence[str] = ()
             values = F.concat(values, json_strings(F.col(f"`{name}`")))
         parts.append(F.transform(F.filter(values, lambda v: v.isNotNull()), _in_column(F.lit(name))).cast(pair))
     leaves = F.filter(F.array_distinct(F.concat(nothing, *parts)), lambda p: ~is_exempt(p["value"]))
-    # A generator stands at either end, so that no expression is copied into what comes after it.
-    walked = candidates.select("*", F.explode(F.array(leaves)).alias("__leaves"))
+    walked = candidates.withColumn("__leaves", leaves)
     walked = walked.withColumn("__changed", F.filter("__leaves", lambda p: may_change_in_nfkc(p["value"])))
     normal = nfkc_each(F.when(F.size("__changed") > 0, F.transform("__changed", lambda p: p["value"])))
     paired = F.zip_with("__changed", normal, lambda p, value: F.struct(p["column"].alias("column"), value.alias("value")))
@@ -253,7 +252,7 @@ def scan_candidates(candidates: DataFrame, key: str, *, json: Sequence[str] = ()
     joined = F.concat(F.lit("\n"), F.array_join(F.transform("__leaves", lambda p: p["value"]), "\n"))
     raw = F.when(may_hold_sensitive_line(joined), F.filter("__leaves", _is_sensitive)).otherwise(nothing)
     found = F.transform(F.concat(raw, F.filter("__forms", _is_sensitive)), lambda p: p["column"])
-    return walked.select(*[F.col(f"`{c}`") for c in candidates.columns], F.explode(F.array(F.array_sort(F.array_distinct(found)))).alias(output))
+    return walked.select(*[F.col(f"`{c}`") for c in candidates.columns], F.array_sort(F.array_distinct(found)).alias(output))
 
 
 def sensitive_rules(columns: Sequence[str], scanned: str = "sensitive_columns") -> list[C.Rule]:
