@@ -155,8 +155,9 @@ def test_every_leaf_of_a_candidate_is_scanned_in_every_form(spark):
 def test_each_named_check_of_an_export_fails_on_what_it_names(spark):
     from driver_queries import export_queries as Q
 
-    rules = Q._staged_rules()
-    good = Q._scanned(spark, "/root/testdata/sf0.001").where(E.earliest_failure(rules).isNull()).limit(1).cache()
+    candidates = Q._candidates(spark, "/root/testdata/sf0.001")
+    rules = Q._staged_rules(E.text_columns(candidates, "o_orderkey"))
+    good = Q._scanned(candidates).where(E.earliest_failure(rules).isNull()).limit(1).cache()
     faults = {
         "strict-input-parse": {"raw": F.lit('{"owner": 1')}, "closed-configuration": {"configuration": F.lit('{"priority": "x", "other": 1}')},
         "prohibited-field-scan": {"raw": F.lit('{"owner": {"a": [{"Pass\\u0077ord": 1}]}}')}, "path-boundary": {"public_artifacts": F.array(F.lit("a/../../b"))},
