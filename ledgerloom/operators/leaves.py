@@ -130,7 +130,8 @@ def deepest(df: DataFrame, raw: str) -> int:
     text = F.col(raw).cast("string")
     depth = json_depth(text)
     parses = F.lit(True) if _is_variant(df, raw) else F.try_parse_json(text).isNotNull()
-    return df.agg(F.max(F.when((depth <= LEVELS) | parses, depth))).first()[0] or 0
+    counted = F.get(F.transform(F.array(depth), lambda d: F.when((d <= LEVELS) | parses, d)), F.lit(0))
+    return df.agg(F.max(counted)).first()[0] or 0
 
 
 def _opened(rows: DataFrame, id_columns: Sequence[str], depth: int) -> DataFrame:
