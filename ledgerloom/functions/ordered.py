@@ -10,7 +10,6 @@ chunks, and the result is the same as that of the plain window. Without a hot ke
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,23 +47,22 @@ def sampled_chunk(
 ) -> Column | None:
     """A chunk by bounds along the order of hot keys, from a sample of all rows' keys and orders; None if no key is hot.
 
-    The sample is the ``sample_rows`` rows of least hash of key and order: one pruned scan, partial top-k per task, and a result of
-    that many short rows on the driver. A key with more than 1 / ``pieces`` of the sample gets a bound after every such
+    The sample is the ``sample_rows`` rows of least hash of key and order: one pruned scan, partial top-k per task; only the sampled
+    orders of hot keys come to the driver. A key with more than 1 / ``pieces`` of a full sample gets a bound after every such
     share, whatever its order columns hold: a constant one, texts or times. All other keys stay whole.
     """
     names = [*keys, *order]
     picked = df.select(*names).orderBy(F.xxhash64(*names), *names).limit(sample_rows)
-    rows = [tuple(r) for r in picked.orderBy(*names).collect()]
-    if len(rows) < sample_rows:
-        return None  # All rows are fewer than the sample: no history is large.
-    share = max(least, -(-len(rows) // pieces))
+    share = max(least, -(-sample_rows // pieces))
+    found = picked.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("found"))
+    hot = found.where(F.size("found") > share).orderBy(*keys).collect()
     kinds = {n: df.schema[n].dataType for n in names}
     literal = lambda name, value: F.lit(value).cast(kinds[name])
     at = F.struct(*[F.col(name) for name in order])
     chunk = None
-    for key, found in groupby(rows, key=lambda r: r[: len(keys)]):
-        bounds = [r[len(keys) :] for r in found][share::share]
-        if not bounds or any(k is None for k in key):
+    for row in hot:
+        key, bounds = [row[name] for name in keys], [tuple(at) for at in row["found"]][share::share]
+        if any(k is None for k in key):
             continue
         # Two steps, so that a row is compared with about twice the root of the number of bounds.
         step = max(1, int(len(bounds) ** 0.5))
