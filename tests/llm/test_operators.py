@@ -377,6 +377,33 @@ def test_recall_of_lines_alike_by_edit_distance(spark, words):
     assert found <= want and len(found) >= 0.97 * len(want)
 
 
+def test_lines_of_one_id_and_different_texts(spark):
+    rows = [(1, "alpha beta gamma delta epsilon"), (2, "alpha beta gamma delta epsilon"), (2, "one two three four five unique"), (3, None), (None, "alpha beta gamma delta epsilon")]
+    kept = op8.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted((rows[0], *rows[2:]), key=str)
+
+
+def test_more_near_lines_than_a_run_lists(spark):
+    """A run of over RUN near copies is compared in tiles; one copy stays. The words a copy changes are its own."""
+    rng = random.Random(8)
+    words = sentence(rng, 120).split(" ")
+    copies = [" ".join([*words[:60], f"q{chr(97 + k // 26)}{chr(97 + k % 26)}", *words[60:]]) for k in range(3 * op8.RUN)]
+    frame = spark.createDataFrame(list(enumerate(copies)), "doc_id long, text string")
+    assert [r["doc_id"] for r in op8.drop_repeats(frame).collect()] == [0]
+
+
+def test_trigrams_bound_edits():
+    rng = random.Random(4)
+    for _ in range(200):
+        a = "".join(rng.choice("abcd é") for _ in range(rng.randint(0, 60)))
+        b = list(a)
+        for _ in range(rng.randint(0, 5)):
+            b[rng.randint(0, len(b)) : rng.randint(0, len(b))] = rng.choice(["", "a", "zz"])
+        b = "".join(b)
+        one, two = op8.trigrams([a, b])
+        assert np.abs(one - two).sum() <= 6 * op8.edit_distance(a, b, 1000)
+
+
 # --- 9
 
 
