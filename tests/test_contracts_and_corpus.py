@@ -241,3 +241,13 @@ def test_positions_and_observed_summary(spark, tmp_path):
     watched, seen = observed_summary(df)
     watched.write.parquet(str(tmp_path / "findings"))
     assert seen.get == finding_summary(df).first().asDict()
+
+
+def test_a_product_beyond_a_bigint_is_out_of_range(spark, tmp_path):
+    from driver_queries.contract_queries import q_contract_range
+
+    rows = [(1, 1000, 1, 5.0, 0.1), (2, 1001, 2, 5.0, 0.1), (3, 1_200_000, 3, 5.0, 0.1), (4, None, 4, 5.0, 0.1)]
+    kind = "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_tax double"
+    spark.createDataFrame(rows, kind).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = {(r.key, r.field) for r in q_contract_range(spark, str(tmp_path)).collect()}
+    assert found == {("2/2", "big"), ("3/3", "big")}
