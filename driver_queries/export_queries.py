@@ -111,8 +111,8 @@ def _candidates(spark: SparkSession, sf_dir: str, partitions: int | None = None)
         .when(F.col("note").startswith("see"), F.col("raw")).when(F.col("o_custkey") % 97 == 0, F.lit('{"owner": 1, "email": "x"}')).otherwise(F.col("raw"))).drop("price")
 
 
-def _review_rules() -> list[C.Rule]:
-    return E.review_rules(E.CANDIDATE_MODE, flags=_FLAGS, subject=_subject())
+def _review_rules(subject: Column | None = None) -> list[C.Rule]:
+    return E.review_rules(E.CANDIDATE_MODE, flags=_FLAGS, subject=_subject() if subject is None else subject)
 
 
 _REVIEW_SQL = """
@@ -300,7 +300,8 @@ def q_lane_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scanned(candidates: DataFrame) -> DataFrame:
-    return E.scan_candidates(candidates, "o_orderkey", json=["raw", "configuration"])
+    """Candidates with the columns that hold a sensitive value, and the digests computed anew, once for all rules that ask for them."""
+    return E.scan_candidates(candidates, "o_orderkey", json=["raw", "configuration"]).withColumns({"subject_anew": _subject(), "record_anew": _record()})
 
 
 def _staged_rules(columns: list[str]) -> list[C.Rule]:
@@ -318,11 +319,11 @@ def _staged_rules(columns: list[str]) -> list[C.Rule]:
         *E.at_stage("allowlist", E.field_name_rules("raw"), ["prohibited-field-scan"]),
         *E.at_stage("evidence", C.array_shape("public_artifacts", at_most=8, code="evidence")),
         *E.at_stage("evidence", E.path_rules("public_artifacts"), ["path-boundary"]),
-        *E.at_stage("bindings", E.digest_rules("bound_record", _record()), ["digest-bindings"]),
+        *E.at_stage("bindings", E.digest_rules("bound_record", F.col("record_anew")), ["digest-bindings"]),
         *E.at_stage("bindings", E.digest_rules("profile_digest", content_digest(F.lit(_PROFILE))), ["export-profile-binding"]),
         *E.at_stage("bindings", E.digest_rules("manifest_digest", content_digest(F.lit(_MANIFEST))), ["exporter-implementation-manifest"]),
         *E.at_stage("values", E.sensitive_rules(columns), ["prohibited-value-scan"]),
-        *E.at_stage("reviews", _review_rules(), ["review-gates", "review-subject-binding"]),
+        *E.at_stage("reviews", _review_rules(F.col("subject_anew")), ["review-gates", "review-subject-binding"]),
         *E.at_stage("reviews", [C.Rule("review-status-parity", "reviewed_status", ~F.col("reviewed_status").eqNullSafe(F.col("status")), "status is not the reviewed one")], ["review-status-parity"]),
         *E.at_stage("mode", [*E.fixture_review_rules(E.CANDIDATE_MODE), *E.strict_review_rules()], ["trusted-execution-mode"]),
     ]

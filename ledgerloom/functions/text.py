@@ -124,9 +124,14 @@ def base64_decoded(text: Column, characters: tuple[int, int] = BASE64_CHARACTERS
     return F.when(F.is_valid_utf8(plain), plain)
 
 
+def has_percent_escape(text: Column) -> Column:
+    """Whether percent-decoding changes the text."""
+    return text.contains("%") & text.rlike("%[0-9A-Fa-f]{2}")
+
+
 def may_have_other_forms(text: Column, nfkc: Column, characters: tuple[int, int] = BASE64_CHARACTERS) -> Column:
     """False only when the raw form is the one form of the text."""
-    return nfkc.isNotNull() | (text.contains("%") & text.rlike("%[0-9A-Fa-f]{2}")) | _base64_body(text, characters).isNotNull()
+    return nfkc.isNotNull() | has_percent_escape(text) | _base64_body(text, characters).isNotNull()
 
 
 def decoded_forms(text: Column, nfkc: Column, characters: tuple[int, int] = BASE64_CHARACTERS) -> Column:
@@ -301,13 +306,20 @@ def is_exempt(text: Column) -> Column:
 _BOUND = ("..", ":\\", "://", *("\n" + start for start in P.PATH_STARTS))
 
 
+def is_plain_word(text: Column) -> Column:
+    """A value of lower-case letters a to z and single hyphens between them that has no sensitive class.
+
+    Of the patterns, only a host name without a dot and a structured identifier can be found in such a value, and both need one of their words.
+    """
+    return text.rlike(r"^[a-z]++(?:-[a-z]++)*+\z") & ~text.rlike("|".join((P.HOST_LITERALS[0], *P.STRUCTURED_ID[2])))
+
+
 def may_hold_sensitive_line(joined: Column) -> Column:
     """False only if no value has a sensitive class, for values each on its line of ``joined``, which begins with a line end.
 
     Nearly all patterns find in the whole text what they find in a line of it; those that are bound to a value's ends are
     replaced by a literal that every value they match holds. The whole is then tried once, instead of every value.
     """
-
     def test(text: Column) -> Column:
         bound = _any(text.contains(literal) for literal in _BOUND)
         return bound | _let(folded_case(text), lambda folded: folded.contains(".git") | _class_of(text, folded, ()).isNotNull())

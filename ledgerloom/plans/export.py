@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.digest import normalize_omissions, normalize_set, row_digest
-from ledgerloom.functions.text import decodings, is_exempt, may_change_in_nfkc, may_hold_sensitive_line, nfkc_each, sensitive_class_of_form
+from ledgerloom.functions.text import base64_decoded, decodings, has_percent_escape, is_exempt, is_plain_word, may_change_in_nfkc, may_hold_sensitive_line, nfkc_each, sensitive_class_of_form
 from ledgerloom.operators import contracts as C
-from ledgerloom.operators.leaves import holds_text, json_strings, leaf_array, member_names
+from ledgerloom.operators.leaves import holds_text, json_strings, leaf_array, leaf_texts, member_names
 
 # Modes, review slots and their scopes, roles, states, checks and omission rules.
 CANDIDATE_MODE = "export-candidate"
@@ -225,13 +225,32 @@ def _is_sensitive(leaf: Column) -> Column:
     return sensitive_class_of_form(leaf["value"]).isNotNull()
 
 
+def _may_be_sensitive(candidates: DataFrame, key: str, json: Sequence[str]) -> DataFrame:
+    """Adds ``__suspect``, false only for rows none of whose string leaves, in any decoded form, holds a sensitive value.
+
+    The different leaves of a row are lines of one text, which is tried once. Of a JSON text without an escape every string is a piece
+    between quotes; one with an escape may hold anything.
+    """
+    names = text_columns(candidates, key)
+    texts = leaf_texts([(F.col(f"`{name}`"), candidates.schema[name].dataType) for name in names])
+    nothing = F.array().cast("array<string>")
+    pieces = [F.coalesce(F.split(F.col(f"`{name}`"), '"'), nothing) for name in json]
+    walked = candidates.withColumn("__texts", F.filter(F.array_distinct(F.concat(texts, *pieces)), lambda v: v.isNotNull() & ~is_exempt(v)))
+    walked = walked.withColumn("__joined", F.concat(F.lit("\n"), F.array_join(F.filter("__texts", lambda v: ~is_plain_word(v)), "\n")))
+    joined, escaped = F.col("__joined"), F.lit(False)
+    for name in json:
+        escaped = escaped | F.coalesce(F.contains(F.col(f"`{name}`"), F.lit("\\")), F.lit(False))
+    other = may_change_in_nfkc(joined) | has_percent_escape(joined) | F.exists("__texts", lambda v: base64_decoded(v).isNotNull())
+    return walked.withColumn("__suspect", F.coalesce(escaped | other | may_hold_sensitive_line(joined), F.lit(True))).drop("__texts", "__joined")
+
+
 def scan_candidates(candidates: DataFrame, key: str, *, json: Sequence[str] = (), output: str = "sensitive_columns") -> DataFrame:
     """Adds the columns in which some string leaf, in any decoded form, holds a sensitive value; an empty array if none does.
 
     Every column but ``key`` is walked, those of ``json`` as texts and as the strings that they hold at any depth. A row's different
-    leaves are tried all at once; in rows where something may be found, and in other forms, one by one, inside the row, and reduced to
-    the columns they are in: one pass over the candidates, without an exchange, a join or an action. Only leaves that NFKC
-    can change are sent to Python.
+    leaves are tried all at once; in rows where something may be found they are tried one by one with their other forms, inside the row,
+    and reduced to the columns they are in: one pass over the candidates, without an exchange, a join or an action. Only leaves
+    that NFKC can change are sent to Python.
     """
     pair = "array<struct<column:string,value:string>>"
     nothing = F.array().cast(pair)
@@ -242,16 +261,14 @@ def scan_candidates(candidates: DataFrame, key: str, *, json: Sequence[str] = ()
             values = F.concat(values, json_strings(F.col(f"`{name}`")))
         parts.append(F.transform(F.filter(values, lambda v: v.isNotNull()), _in_column(F.lit(name))).cast(pair))
     leaves = F.filter(F.array_distinct(F.concat(nothing, *parts)), lambda p: ~is_exempt(p["value"]))
-    walked = candidates.withColumn("__leaves", leaves)
+    walked = _may_be_sensitive(candidates, key, json).withColumn("__leaves", F.when(F.col("__suspect"), leaves).otherwise(nothing))
     walked = walked.withColumn("__changed", F.filter("__leaves", lambda p: may_change_in_nfkc(p["value"])))
     normal = nfkc_each(F.when(F.size("__changed") > 0, F.transform("__changed", lambda p: p["value"])))
     paired = F.zip_with("__changed", normal, lambda p, value: F.struct(p["column"].alias("column"), value.alias("value")))
     walked = walked.withColumn("__normal", F.filter(F.coalesce(paired, nothing), lambda p: p["value"].isNotNull()))
     decoded = F.flatten(F.transform("__leaves", lambda p: F.transform(decodings(p["value"]), _in_column(p["column"]))))
     walked = walked.withColumn("__forms", F.concat(decoded.cast(pair), "__normal"))
-    joined = F.concat(F.lit("\n"), F.array_join(F.transform("__leaves", lambda p: p["value"]), "\n"))
-    raw = F.when(may_hold_sensitive_line(joined), F.filter("__leaves", _is_sensitive)).otherwise(nothing)
-    found = F.transform(F.concat(raw, F.filter("__forms", _is_sensitive)), lambda p: p["column"])
+    found = F.transform(F.filter(F.concat("__leaves", "__forms"), _is_sensitive), lambda p: p["column"])
     return walked.select(*[F.col(f"`{c}`") for c in candidates.columns], F.array_sort(F.array_distinct(found)).alias(output))
 
 
