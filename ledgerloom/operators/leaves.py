@@ -65,38 +65,6 @@ def holds_text(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.StringType, T.VariantType))
 
 
-def leaf_texts(columns: Sequence[tuple[Column, T.DataType]]) -> Column:
-    """The string leaves of typed values without their paths, NULL among them, as one array in no stated order.
-
-    Single texts and the fields of structs, also of structs in an array, are read as they are; only deeper values are walked.
-    """
-    single: list[Column] = []
-    arrays: list[Column] = []
-
-    def walk(value: Column, data_type: T.DataType) -> None:
-        if isinstance(data_type, T.StringType):
-            single.append(value)
-        elif isinstance(data_type, T.StructType):
-            for f in data_type.fields:
-                if holds_text(f.dataType):
-                    walk(value[f.name], f.dataType)
-        elif isinstance(data_type, T.ArrayType) and isinstance(data_type.elementType, T.StringType):
-            arrays.append(value)
-        elif isinstance(data_type, T.ArrayType) and isinstance(data_type.elementType, T.StructType) and _flat(data_type.elementType):
-            arrays.extend(value[f.name] for f in data_type.elementType.fields if isinstance(f.dataType, T.StringType))
-        else:
-            arrays.append(F.transform(leaf_array(value, data_type, F.lit("")), lambda leaf: leaf["value"]))
-
-    for value, data_type in columns:
-        walk(value, data_type)
-    none = _none("array<string>")
-    return F.concat(F.array(*single).cast("array<string>"), *[F.coalesce(a, none) for a in arrays])
-
-
-def _flat(data_type: T.StructType) -> bool:
-    return all(isinstance(f.dataType, T.StringType) or not holds_text(f.dataType) for f in data_type.fields)
-
-
 def flatten_leaves(df: DataFrame, id_columns: Sequence[str], columns: Sequence[str] | None = None, depth: int | None = None) -> DataFrame:
     """(id, path, value) of every string leaf of the other columns, whatever their nesting.
 
