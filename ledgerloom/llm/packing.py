@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,8 @@ _SEGMENT = 1 << 18
 
 
 def _as_bytes(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+    """Little-endian 32-bit ids; an array costs more to make than a word's few ids take to pack."""
+    return struct.pack(f"<{len(ids)}I", *ids) if len(ids) < 64 else np.array(ids, dtype="<u4").tobytes()
 
 
 def _segments(text: str) -> Iterator[str]:
@@ -52,7 +55,7 @@ def token_pieces(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
             for k, value in enumerate(batch.column("body")):
                 body = value.as_py() or ""
                 if by_word:
-                    ids = b"".join(x for s in _segments(body) for x in by_word.look_up(s)) + end
+                    ids = b"".join(chain.from_iterable(map(by_word.look_up, _segments(body)))) + end
                 else:
                     ids = _as_bytes(encode_whole(tokenizer, body)[0]) + end
                 for j, at in enumerate(range(0, len(ids), 4 * capacity)):

@@ -69,20 +69,19 @@ class WordIds:
         return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def learn(self, words: list[str]) -> None:
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
+        known = self.known
+        new = set(words).difference(known)
         if not new:
             return
-        if len(self.known) + len(new) > self.most:
-            self.known.clear()
-            new = list(dict.fromkeys(words))
-        parts = {w: m.groups() for w in new if (m := _WORD_AND_MARKS.fullmatch(w))}
-        single = dict.fromkeys([w for w in new if w not in parts] + [p for x in parts.values() for p in x])
-        single = [w for w in single if w not in self.known]
-        fresh = dict(zip(single, self._encode(single), strict=True))
-        for w, ids in fresh.items():
-            self.known[w] = self.of(ids)
-        for w, (a, b) in parts.items():
-            self.known[w] = self.known[a] + self.known[b]  # type: ignore[operator]
+        if len(known) + len(new) > self.most:
+            known.clear()
+            new = set(words)
+        parts = [(m[0], m[1], m[2]) for m in map(_WORD_AND_MARKS.fullmatch, new) if m]
+        single = new.difference([w for w, _, _ in parts])
+        single.update([a for _, a, _ in parts], [b for _, _, b in parts])
+        fresh = list(single.difference(known))
+        known.update(zip(fresh, map(self.of, self._encode(fresh)), strict=True))
+        known.update([(w, known[a] + known[b]) for w, a, b in parts])  # type: ignore[operator]
 
     def words(self, text: str) -> list[str]:
         """Lower-casing early halves the words to know; a special token is matched before that, so such texts stay as they are."""

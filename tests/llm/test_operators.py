@@ -291,6 +291,15 @@ def test_repeated_words_are_those_of_brute_force(spark, rows):
         assert got[k] == len({p for i in range(len(w) - 7) if seen[tuple(w[i : i + 8])] > 1 for p in range(i, i + 8)})
 
 
+@pytest.mark.parametrize("most", [3, 400_000])
+def test_words_have_the_ids_of_the_library_however_few_are_held(most):
+    texts = ["der hund, der", "hund,", "a\nb!! été, x" + "z" * 300, "Ab,, 12 c'est l'eau", "", "x" * 5 + " der hund, neu"]
+    by_word = op5.WordIds(op5.TOKENIZER, op4._as_bytes, most)
+    for text in texts + texts[::-1]:
+        got = np.frombuffer(b"".join(by_word.look_up(text)), dtype="<u4").tolist()
+        assert got == op5.encode_whole(op5.TOKENIZER, text)[0]
+
+
 # --- 8
 
 
