@@ -315,6 +315,25 @@ def test_edit_distance(a, b, most):
     assert op8.edit_distance(a, b, most) == min(row[-1], most + 1)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text("abé ", max_size=24), st.text("abé ", max_size=24), st.integers(0, 24))
+def test_edits_by_word_are_no_fewer_than_the_distance(a, b, most):
+    distance = op8.edit_distance(a, b, 100)
+    assert op8.edits_by_word(a, b, most) >= min(distance, most + 1)
+    assert op8.alike(a, b, 90) == (distance <= max(len(a), len(b)) // 10)
+
+
+def test_long_near_lines_are_compared_by_word_only(monkeypatch):
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(80)]
+    other = [w[:2] + "z" + w[3:] if k % 9 == 0 else w for k, w in enumerate(words)]
+    del other[30]
+    longest, whole = [], op8.edit_distance
+    monkeypatch.setattr(op8, "edit_distance", lambda a, b, most: (longest.append(max(len(a), len(b))), whole(a, b, most))[1])
+    assert op8.alike(" ".join(words), " ".join(other), 90)
+    assert max(longest) < 30
+
+
 def test_near_fingerprints_share_a_block_key():
     rng = np.random.default_rng(2)
     f = rng.integers(0, 2**63, 200, dtype=np.uint64)
