@@ -361,6 +361,52 @@ def test_lines_that_repeat(docs, texts):
     assert 5 in left and 6 not in left and 8 not in left and {None, 40, 41, 42, 43, 48} <= left and 49 not in left
 
 
+def test_a_long_run_lists_few_pairs_and_the_rest_is_compared_once():
+    """Before, long runs that share nodes were one family, all of whose texts met in tiles: its square, for runs that are small."""
+    rng = np.random.default_rng(5)
+    n, choices = 300, len(op8.CHOICES)
+    fingerprint = rng.integers(0, 1 << 63, n).astype(np.uint64)
+    fingerprint[::2] = fingerprint[0] ^ (np.uint64(1) << rng.integers(0, 64, len(fingerprint[::2])).astype(np.uint64))
+    bands, length = rng.integers(0, 6, (n, op8.BANDS)).astype(np.uint32), rng.integers(150, 400, n)
+    listed, kinds, members = set(), np.zeros(n, dtype=np.int64), {}
+    for kind in range(choices + op8.BANDS):
+        key, bits = (op8.block_key(fingerprint, kind), 3) if kind < choices else (bands[:, kind - choices], np.where(length >= op8.LONG, op8.FAR, 64))
+        a, b, run, node = op8.runs(key, length, fingerprint, np.arange(n), 90, bits)
+        assert len(a) <= 8 * n + (op8.RUN - 1) * n / 2 and {*node} == {k for k in range(n) if (key == key[k]).sum() > op8.RUN}
+        listed |= set(zip(a.tolist(), b.tolist(), strict=True))
+        kinds[node] |= 1 << kind
+        members[kind] = [node[run == r] for r in np.unique(run)]
+        short = np.array([(key == key[k]).sum() <= op8.RUN for k in range(n)])
+        near = (key[:, None] == key) & (np.minimum.outer(length, length) * 100 >= 90 * np.maximum.outer(length, length)) & (np.arange(n)[:, None] < np.arange(n)) & short
+        near &= np.bitwise_count(fingerprint[:, None] ^ fingerprint) <= np.maximum.outer(np.broadcast_to(bits, n), np.zeros(n, dtype=int)) if kind < choices else near
+        assert kind >= choices or set(zip(*(x.tolist() for x in np.nonzero(near)), strict=True)) <= listed
+    compared: dict = {}
+    for kind, runs in members.items():
+        for rows in runs:
+            a, b = op8.run_pairs(kind, fingerprint, bands, kinds, length, np.arange(n), rows, rows, 90)
+            for pair in zip(a[a < b].tolist(), b[a < b].tolist(), strict=True):
+                compared[pair] = compared.get(pair, 0) + 1
+    assert set(compared.values()) == {1}
+    for rows in (r for runs in members.values() for r in runs):
+        wanted = {(min(i, j), max(i, j)) for i in rows.tolist() for j in rows.tolist() if i != j and min(length[i], length[j]) * 100 >= 90 * max(length[i], length[j])}
+        assert wanted <= compared.keys() | listed
+
+
+def test_edit_distance_of_far_texts_ends_early():
+    """Texts of the same words in another order have equal letters and nearly equal 3-grams; no word or row is left out of the distance."""
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice([*"abcdefgh"], 5)) for _ in range(150)]
+    a, b = " ".join(words), " ".join(rng.permutation(words))
+    for most in (0, 89, 400, 600, 1000):
+        row = list(range(len(b) + 1))
+        for i, c in enumerate(a, 1):
+            before, row = row, [i]
+            for j, d in enumerate(b, 1):
+                row.append(min(row[-1] + 1, before[j] + 1, before[j - 1] + (c != d)))
+        assert op8.edit_distance(a, b, most) == min(row[-1], most + 1)
+    assert op8._over(*[(1 << 100) - 1, 0], 0, 100, 0) is False and op8._over((1 << 100) - 1, 0, 64, 100, 10)
+
+
 def test_near_lines_join_and_are_verified(spark):
     rng = random.Random(3)
     body = " ".join(rng.choice(WORDS) + str(rng.choice("abcdef")) for _ in range(150))
