@@ -59,3 +59,34 @@ def test_entry_and_file_inventory(spark):
     one = next(r for r in rows if r.path == "orders.parquet")
     data = Path(SF, "orders.parquet").read_bytes()
     assert (one.size, one.digest, one.role) == (len(data), "sha256:" + hashlib.sha256(data).hexdigest(), "fact")
+
+
+def test_file_inventory_reads_large_files_in_pieces(spark, tmp_path):
+    """A file of over WHOLE bytes with an extension is never one value; its digest is that of its very bytes, whatever it ends with and is named."""
+    import gzip
+    import hashlib
+    import random
+
+    from ledgerloom.sources import inventory
+
+    big, rng = inventory.WHOLE + 7, random.Random(3)
+    noise = rng.randbytes(3 * big)
+    contents = {
+        "a.bin": noise, "b.bin": noise[:big] + b"\n", "c.bin": noise[:big].replace(b"\n", b"x") + b"\r\n\n", "mark.csv": b"\xef\xbb\xbf" + noise[:big].rstrip(b"\n"),
+        "mark2.csv": b"\xef\xbb\xbf" + noise[:big] + b"\n", "real.gz": gzip.compress(noise), "false.gz": noise[:big], "x.tgz": noise[1:big], "nested/p.zst": noise[2 : 2 * big], "x.0": noise[5:], "part-00000": noise[5:9999],
+        "lines.txt": b"\n" * big, "small.txt": b"a\nb\n", "mark.txt": b"\xef\xbb\xbf", "at.bin": noise[: inventory.WHOLE], "sp ace+.bin": noise[7:], "v.parquet": b"\n" + noise,
+    }
+    for name, data in contents.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(data)
+    limits = {"spark.sql.sources.binaryFile.maxLength": str(inventory.WHOLE), "spark.sql.files.maxPartitionBytes": "300000"}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    try:
+        rows = inventory.file_inventory(spark, str(tmp_path)).collect()
+        some = inventory.file_inventory(spark, str(tmp_path), glob="*.gz").collect()
+    finally:
+        for key in limits:
+            spark.conf.unset(key)
+    assert {r.path: (r.size, r.digest) for r in rows} == {n: (len(d), f"sha256:{hashlib.sha256(d).hexdigest()}") for n, d in contents.items()}
+    assert len(rows) == len(contents) and {r.path for r in some} == {"real.gz", "false.gz"}
