@@ -372,7 +372,7 @@ def test_a_long_run_lists_few_pairs_and_the_rest_is_compared_once():
     for kind in range(choices + op8.BANDS):
         key, bits = (op8.block_key(fingerprint, kind), 3) if kind < choices else (bands[:, kind - choices], np.where(length >= op8.LONG, op8.FAR, 64))
         a, b, run, node = op8.runs(key, length, fingerprint, np.arange(n), 90, bits)
-        assert len(a) <= 8 * n + (op8.RUN - 1) * n / 2 and {*node} == {k for k in range(n) if (key == key[k]).sum() > op8.RUN}
+        assert len(a) <= n + (op8.RUN - 1) * n / 2 and {*node} == {k for k in range(n) if (key == key[k]).sum() > op8.RUN}
         listed |= set(zip(a.tolist(), b.tolist(), strict=True))
         kinds[node] |= 1 << kind
         members[kind] = [node[run == r] for r in np.unique(run)]
